@@ -46,6 +46,7 @@ class ChatRules:
     source: str
     senders: bool = False  # turns are from/value pairs whose sender is mapped to a role
     user_only: bool = False
+    drop_blank: bool = True
     languages: tuple[str, ...] = ()  # accepted languages in lower case; empty accepts all
     language: str | None = ENGLISH
     src_model: str | None = HUMAN  # None: taken from the row
@@ -72,7 +73,8 @@ def _spoken(df: DataFrame, rules: ChatRules) -> DataFrame:
 
 
 def _kept(conversation: Column, rules: ChatRules) -> Column:
-    return drop_blank(user_only(conversation) if rules.user_only else conversation)
+    kept = user_only(conversation) if rules.user_only else conversation
+    return drop_blank(kept) if rules.drop_blank else kept
 
 
 def _chat_records(
@@ -293,7 +295,7 @@ def normalised_turns(turns: DataFrame, rules: ChatRules) -> DataFrame:
     )
     if rules.user_only:
         out = out.where(F.col("role") == "user")
-    return out.where(has_text(F.col("content")))
+    return out.where(has_text(F.col("content"))) if rules.drop_blank else out
 
 
 def chat_records_from_turns(turns: DataFrame, rules: ChatRules, text_key: bool = False) -> DataFrame:
