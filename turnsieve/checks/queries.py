@@ -854,8 +854,8 @@ def stream_collect(spark, sf_dir):
     out, checkpoint = new_folder(spark, "collected"), new_folder(spark, "state")
     manifest = written(fr.request_manifest(spark, sf_dir), "manifest")
     st_collect.stream_collect(spark, answers, manifest, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out).select(
-        F.col("shard_id").cast("string"), "custom_id", "status", *AXES, "source"
+    return spark.read.schema(RESULT).parquet(out).select(
+        "shard_id", "custom_id", "status", *AXES, "source"
     )
 
 

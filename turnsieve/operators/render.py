@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WHITESPACE_PATTERN, strip, text_or_empty, truncate
+from ..functions.text import strip, text_or_empty, truncate
 
 # Caps and markers of a rendered conversation.
 MAX_TURNS = 20
@@ -77,14 +77,15 @@ def render_prompts(
 
 # -- inverse ---------------------------------------------------------------------------------
 
-_SPACE = WHITESPACE_PATTERN.removeprefix("(?U)").removesuffix("+")
+# white space within a line
+_BLANK = r"[\s\x1f&&[^\n]]*+"
 _LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]"
-_MARK = rf'{_SPACE}*+<turn index="(\d+)" role="(\w+)">'
-_ANY_MARK = _MARK.replace("(", "(?:")
-_END = rf"{_SPACE}*+</turn>{_SPACE}*+$"
+_MARK = rf'{_BLANK}<turn index="(\d+)" role="(\w+)">'
+_ANY_MARK = rf'{_BLANK}<turn index="\d+" role="\w+">'
+_END = rf"{_BLANK}</turn>{_BLANK}$"
 # a marker line, then every line that neither ends the turn nor starts another one
-_TURN = rf"(?msdU)^(?:(?!\n){_MARK})[^\n]*+(?:\n|\z)((?:(?!{_ANY_MARK}|{_END})[^\n]*+(?:\n|\z))*+)"
-_NOTE = rf"(?mdU)^[^\S\n]*+(\[[^\n]*later turn[^\n]*)$"
+_TURN = rf"(?msdU)^{_MARK}[^\n]*+(?:\n|\z)((?:(?!{_ANY_MARK}|{_END})[^\n]*+(?:\n|\z))*+)"
+_NOTE = rf"(?mdU)^{_BLANK}(\[[^\n]*later turn[^\n]*)$"
 
 
 def explode_rendered_turns(df: DataFrame, column: str = "prompt") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEDUP_PREFIX
+from ..operators.render import static_text
 from ..operators.results import MAX_SCORE, MAX_TOKENS
 from ..operators.shards import SHARD_MAX_BYTES, SHARD_MAX_REQUESTS
 from ..schemas import AXES
@@ -60,7 +61,7 @@ class RunConfig:
 
     def values(self) -> dict:
         out = asdict(self)
-        template = out.pop("prefix") + "\0" + out.pop("suffix")
+        template = "".join(static_text(out.pop("prefix"), out.pop("suffix")))
         return {
             **out,
             "schema_sha": fingerprint(answer_schema()),
