@@ -232,11 +232,12 @@ oracle(
 
 def page_text(html: str) -> str:
     out = f"regexp_replace(regexp_replace({html}, '<[^>]+>', ' ', 'g'), {RUNS}, ' ', 'g')"
-    for reference, char in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"),
-        ("&copy;", "\xa9"), ("&middot;", "\xb7"), ("&amp;", "&"),
+    # these names are also read without their semicolon
+    for name, char in (
+        ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("nbsp", "\xa0"),
+        ("copy", "\xa9"), ("middot", "\xb7"), ("amp", "&"),
     ):
-        out = f"replace({out}, '{reference}', {quoted(char)})"
+        out = f"regexp_replace({out}, '&{name};?', {quoted(char)}, 'g')"
     return strip(out)
 
 

@@ -162,7 +162,7 @@ def repair_stringified_turns(spark, sf_dir):
 @query
 def html_to_text(spark, sf_dir):
     df = fr.table(spark, sf_dir, "pages")
-    return df.select("page_id", tx.html_to_text(F.col("html")).alias("text"))
+    return tx.with_html_text(df.select("page_id", "html"), "html", "text").select("page_id", "text")
 
 
 # -- adapters --------------------------------------------------------------------------------------
@@ -537,9 +537,7 @@ def write_read_shards(spark, sf_dir):
     """Shards written as gzip JSON lines and read back without their metadata."""
     folder = new_folder(spark, "shards")
     sinks.write_shards(prep.request_lines(_prepared(spark, sf_dir), fr.RUN), folder)
-    fingerprints = readers.read_shards(spark, folder).select("shard_id", "custom_id", "fingerprint")
-    df = readers.read_shard_requests(spark, folder).join(fingerprints, ["shard_id", "custom_id"])
-    return df.select(
+    return readers.read_shard_requests(spark, folder).select(
         "shard_id", "custom_id", "fingerprint",
         F.length(F.get("params.messages", F.lit(0))["content"]).alias("prompt_chars"),
         F.variant_get("params.output_config", "$.format.schema.required[0]", "string").alias("first_field"),

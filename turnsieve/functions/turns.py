@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import WHITESPACE_PATTERN, has_text, text_or_empty
+from .text import SPACES, has_text, text_or_empty
 
 TURN = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 CONVERSATION = T.ArrayType(TURN)
@@ -89,16 +89,14 @@ def blocks_text(content: Column, dtype: T.DataType) -> Column:
 
 # -- conversations stored as the printed form of an array -------------------------------------
 
-_SPACE = WHITESPACE_PATTERN.removeprefix("(?U)").removesuffix("+")
-_ROLE_MARK = rf"'role':{_SPACE}*'(?:user|assistant)'"
+_ROLE_MARK = rf"'role':[{SPACES}]*'(?:user|assistant)'"
 _TEXT_MARK = "'text':"
-_QUOTED = {q: rf"{q}([^{q}\\]*+(?:\\.[^{q}\\]*+)*+\\?+)" for q in ("'", '"')}
+_QUOTED = "|".join(rf"{q}[^{q}\\]*+(?:\\.[^{q}\\]*+)*+\\?+" for q in ("'", '"'))
 # Role marker, then (looked at, not consumed) the first text marker before the next role marker and
-# the quoted string after it. Possessive loops keep long texts off the Java stack.
+# the string after it, from its opening quote on. Possessive loops keep long texts off the Java stack.
 _PRINTED_TURN = (
-    rf"(?sU)'role':{_SPACE}*'(user|assistant)'"
-    rf"(?=(?:(?!{_ROLE_MARK}|{_TEXT_MARK}).)*+{_TEXT_MARK}[ \t\n]*+(?!{_ROLE_MARK})"
-    rf"(?:{_QUOTED[chr(39)]}|{_QUOTED[chr(34)]}))"
+    rf"(?s)'role':[{SPACES}]*'(user|assistant)'"
+    rf"(?=(?:(?!{_ROLE_MARK}|{_TEXT_MARK}).)*+{_TEXT_MARK}[ \t\n]*+(?!{_ROLE_MARK})({_QUOTED}))"
 )
 
 
@@ -116,11 +114,12 @@ def printed_turns(text: Column) -> Column:
     pattern = F.lit(_PRINTED_TURN)
     parts = F.arrays_zip(
         F.regexp_extract_all(text, pattern, F.lit(1)).alias("role"),
-        F.regexp_extract_all(text, pattern, F.lit(2)).alias("single"),
-        F.regexp_extract_all(text, pattern, F.lit(3)).alias("double"),
+        F.regexp_extract_all(text, pattern, F.lit(2)).alias("quoted"),
     )
     return F.coalesce(
-        F.transform(parts, lambda p: turn(p["role"], _unquote(F.concat(p["single"], p["double"])))),
+        F.transform(
+            parts, lambda p: turn(p["role"], _unquote(F.substring(p["quoted"], F.lit(2), F.length(p["quoted"]))))
+        ),
         empty_conversation(),
     )
 

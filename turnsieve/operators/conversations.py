@@ -59,7 +59,8 @@ def assemble_conversations(
     columns that are equal on all turns of a conversation; of positions the smallest is taken.
 
     Both branches shrink on the map side (the rank limit and partial aggregates), so one very long
-    conversation sends a few rows per task. They are hash-partitioned alike; the join adds no shuffle.
+    conversation sends a few rows per task. Both are hash-partitioned by the key already, so the merge
+    join adds no shuffle and nothing is broadcast.
     """
     turns = turns.where(F.col(key).isNotNull())
     asked = (F.col("role") == "user") & (text_or_empty(F.col("content")) != "")
@@ -80,7 +81,7 @@ def assemble_conversations(
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("_rank", "role", "content"))).alias("_head"))
     )
-    return whole.join(head, key).select(
+    return whole.join(head.hint("merge"), key).select(
         key,
         *carry,
         *[F.col(f"_position.{c}") for c in placed],

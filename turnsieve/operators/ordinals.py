@@ -75,27 +75,22 @@ def with_request_id(
     ordinal: str = "ordinal",
     own: str = "id",
     fallback: str = FILE_ID_FORMAT,
-    order: Sequence[str] = ("file_idx", "row_idx"),
 ) -> DataFrame:
     """Request id: the row's own id when it has a usable shape and is the first such in ``scope``,
     else one made of the row's ordinal.
 
-    Only usable ids compete; rows without one are numbered apart, spread by their position, so a
-    source full of bad ids is not gathered in one group.
+    The first row of an id is found by a partial minimum and joined back by ordinal, which is unique:
+    an id that a third of the rows share is never gathered in one task.
     """
-    usable = valid_id(F.col(own))
-    rank = F.row_number().over(
-        Window.partitionBy(
-            *scope, F.when(usable, F.col(own)), F.when(~usable, F.col(ordinal))
-        ).orderBy(*order)
+    first = (
+        df.where(valid_id(F.col(own)))
+        .groupBy(*scope, own)
+        .agg(F.min(ordinal).alias(ordinal))
+        .select(*scope, ordinal, F.lit(True).alias("_first"))
     )
+    made = F.format_string(fallback, F.col(ordinal))
     return (
-        df.withColumn("_first", usable & (rank == 1))
-        .withColumn(
-            "custom_id",
-            F.when(F.col("_first"), F.col(own)).otherwise(
-                F.format_string(fallback, F.col(ordinal))
-            ),
-        )
-        .drop("_first")
+        df.join(first, [*scope, ordinal], "left")
+        .withColumn("custom_id", F.when(F.col("_first"), F.col(own)).otherwise(made))
+        .select(*df.columns, "custom_id")
     )

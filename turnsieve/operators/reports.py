@@ -1,4 +1,5 @@
-"""Reports. Each is one pass of partial aggregates; totals come from rollups, not from second scans."""
+"""Reports. Each is one pass of partial aggregates; totals are rolled up from the small grouped rows,
+not from second scans and not by expanding the rows themselves."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import AXES
 from .rebuild import STRONG, passes
-from .results import OK, REFUSAL
+from .results import MAX_SCORE, OK, REFUSAL
 
 # Prices in dollars per million tokens, and the figures of an estimate.
 PRICE_IN, PRICE_OUT = 1.0, 5.0
@@ -62,23 +63,26 @@ def status_bucket(status: Column) -> Column:
 
 def status_counts(results: DataFrame) -> DataFrame:
     """Rows per shard and bucket, and per bucket in total (``shard_id`` null)."""
+    counts = results.groupBy("shard_id", status_bucket(F.col("status")).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     return (
-        results.withColumn("bucket", status_bucket(F.col("status")))
-        .rollup("bucket", "shard_id")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.grouping("bucket").alias("_all"))
+        counts.rollup("bucket", "shard_id")
+        .agg(F.sum("n").alias("n_rows"), F.grouping("bucket").alias("_all"))
         .where(F.col("_all") == 0)
         .select("shard_id", "bucket", "n_rows")
     )
 
 
 def score_histogram(results: DataFrame) -> DataFrame:
-    """Rows per axis and score, failures left out."""
+    """Rows per axis and score, failures left out. Rows are counted by their three scores together,
+    of which there are few, before the axes are told apart."""
+    counts = results.groupBy(*AXES).agg(F.count(F.lit(1)).alias("n"))
     return (
-        results.select(*AXES)
-        .unpivot([], [F.col(a) for a in AXES], "axis", "score")
+        counts.unpivot(["n"], [F.col(a) for a in AXES], "axis", "score")
         .where(F.col("score").isNotNull())
         .groupBy("axis", "score")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.sum("n").alias("n_rows"))
     )
 
 
@@ -116,14 +120,16 @@ def run_progress(requests: DataFrame, results: DataFrame) -> DataFrame:
 
 def yield_report(scores: DataFrame) -> DataFrame:
     """Per source and in total (null source): rows, conceptual, strong, most novel, strong rate."""
-    strong = passes()
-    return scores.rollup("source").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if((F.col("status") == OK) & (F.col("conceptual") >= STRONG)).alias("conceptual_ge2"),
-        F.count_if(strong).alias("strong"),
-        F.count_if((F.col("status") == OK) & (F.col("novelty") == 3)).alias("novelty_3"),
-        (F.count_if(strong) / F.count(F.lit(1))).alias("strong_rate"),
-    )
+    ok = F.col("status") == OK
+    counted = {
+        "n_rows": F.count(F.lit(1)),
+        "conceptual_ge2": F.count_if(ok & (F.col("conceptual") >= STRONG)),
+        "strong": F.count_if(passes()),
+        "novelty_3": F.count_if(ok & (F.col("novelty") == MAX_SCORE)),
+    }
+    by_source = scores.groupBy("source").agg(*[c.alias(n) for n, c in counted.items()])
+    report = by_source.rollup("source").agg(*[F.sum(n).alias(n) for n in counted])
+    return report.withColumn("strong_rate", F.col("strong") / F.col("n_rows"))
 
 
 def file_report(records: DataFrame, requests: DataFrame) -> DataFrame:

@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import natural_key
-from ..functions.text import has_text, html_to_text, iso_timestamp, strip, text_or_empty, title_and_body
+from ..functions.text import (
+    has_text,
+    iso_timestamp,
+    strip,
+    text_or_empty,
+    title_and_body,
+    with_html_text,
+)
 from ..functions.turns import (
     blocks_text,
     drop_blank,
@@ -84,8 +91,12 @@ def _chat_records(
     conversation: Column,
     **columns: Column,
 ) -> DataFrame:
-    """Language filter, turn rules, then only rows that still have a turn."""
-    df = _spoken(df, rules).withColumn("_kept", _kept(conversation, rules))
+    """Language filter, turn rules, then only rows that still have a turn.
+
+    The turns are put through a generator of one row: a filter is not pushed below it, so that turns
+    which are costly to read (printed arrays) are read once and not once more for the filter.
+    """
+    df = _spoken(df, rules).select("*", F.explode(F.array(_kept(conversation, rules))).alias("_kept"))
     df = df.where(F.size("_kept") > 0)
     columns.setdefault("src_model", F.lit(rules.src_model))
     return records(
@@ -130,9 +141,10 @@ def chat_log(df: DataFrame, source: str = CHAT_LOG_SOURCE) -> DataFrame:
     )
 
 
-def _forum_post(df: DataFrame, source: str, key: Column, title: Column, body: Column, **rest) -> DataFrame:
-    df = df.withColumn("_title", strip(text_or_empty(title)))
-    df = df.withColumn("_text", title_and_body(F.col("_title"), html_to_text(body)))
+def _forum_post(df: DataFrame, source: str, key: Column, **rest: Column) -> DataFrame:
+    df = with_html_text(df, "htmlBody", "_body")
+    df = df.withColumn("_title", strip(text_or_empty(F.col("title"))))
+    df = df.withColumn("_text", title_and_body(F.col("_title"), F.col("_body")))
     return records(
         df.where(F.col("_text") != ""),
         source=F.lit(source),
@@ -159,8 +171,6 @@ def forum_flagged(df: DataFrame, source: str = FLAGGED_FORUM_SOURCE) -> DataFram
         flat,
         source,
         F.col("_id"),
-        F.col("title"),
-        F.col("htmlBody"),
         url=F.col("pageUrl"),
         base_score=F.col("baseScore"),
         timestamp=_as_text(flat, "postedAt"),
@@ -174,8 +184,6 @@ def forum_interrogative(df: DataFrame, source: str = TITLED_FORUM_SOURCE) -> Dat
         asked,
         source,
         F.col("post_id"),
-        F.col("title"),
-        F.col("htmlBody"),
         url=F.col("pageUrl"),
         base_score=F.col("baseScore"),
         timestamp=_as_text(asked, "postedAt"),

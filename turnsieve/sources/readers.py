@@ -56,8 +56,8 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_shard_requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Requests only; the manifest is not parsed."""
-    return read_shards(spark, folder).select("shard_id", "custom_id", "params")
+    """Requests and the fingerprint of their run; the manifest is not parsed."""
+    return read_shards(spark, folder).select("shard_id", "custom_id", "params", "fingerprint")
 
 
 def read_results(spark: SparkSession, folder: str) -> DataFrame:

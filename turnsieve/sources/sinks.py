@@ -30,8 +30,9 @@ def write_results(results: DataFrame, folder: str, mode: str = "overwrite") -> N
 
 
 def write_scores(scores: DataFrame, folder: str) -> None:
-    """Score tables by source. Not repartitioned by source: one source may hold most rows."""
-    scores.write.mode("overwrite").partitionBy("source").parquet(folder)
+    """Score tables by source. Rebalanced rather than repartitioned: a source that holds most rows is
+    split over many tasks, and small ones share a task."""
+    scores.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").parquet(folder)
 
 
 def rebuilt_name(source: str, conceptual: int, novelty: int, well_formed: int) -> str:
