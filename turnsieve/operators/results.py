@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import AXES
+from ..functions.once import computed_once
+from ..schemas import AXES, RESPONSE
 
 # Statuses and limits.
 OK, REFUSAL, UNKNOWN, OUT_OF_RANGE = "ok", "refusal", "unknown", "out_of_range"
@@ -63,9 +64,9 @@ def parse_responses(responses: DataFrame, strict: bool = False) -> DataFrame:
         .when(F.col("_problem").isNotNull(), F.concat(F.lit(PARSE_ERROR), F.col("_problem")))
         .otherwise(F.lit(OK))
     )
-    df = df.withColumn("status", status)
-    ok = F.col("status") == OK
-    unread = F.col("status").startswith(PARSE_ERROR)
+    df = df.withColumn("_status", status)
+    ok = F.col("_status") == OK
+    unread = F.col("_status").startswith(PARSE_ERROR)
     start = F.substring(text, 1, ERROR_TEXT_CHARS)
     reason = F.when(
         ok,
@@ -85,16 +86,16 @@ def parse_responses(responses: DataFrame, strict: bool = False) -> DataFrame:
     def tokens(name: str) -> Column:
         return F.when(answered, F.coalesce(F.col(name), F.lit(0))).otherwise(F.lit(0)).cast("bigint")
 
-    raw = ("result_type", "stop_reason", "text", "input_tokens", "output_tokens", "_json", "_problem")
-    kept = [c for c in responses.columns if c not in raw]
-    return df.select(
-        *kept,
-        "status",
-        *[F.when(ok, scores[a]).alias(a) for a in AXES],
-        reason.alias("reasoning"),
-        tokens("input_tokens").alias("input_tokens"),
-        tokens("output_tokens").alias("output_tokens"),
-    )
+    made = {
+        "status": F.col("_status"),
+        **{a: F.when(ok, scores[a]) for a in AXES},
+        "reasoning": reason,
+        "input_tokens": tokens("input_tokens"),
+        "output_tokens": tokens("output_tokens"),
+    }
+    kept = [c for c in responses.columns if c not in RESPONSE.fieldNames()]
+    df = computed_once(df, **{f"_made_{name}": value for name, value in made.items()})
+    return df.select(*kept, *[F.col(f"_made_{name}").alias(name) for name in made])
 
 
 def check_range(results: DataFrame, highest: int = MAX_SCORE) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import natural_key
+from ..functions.once import computed_once
 from ..functions.text import (
     has_text,
     iso_timestamp,
@@ -93,10 +94,9 @@ def _chat_records(
 ) -> DataFrame:
     """Language filter, turn rules, then only rows that still have a turn.
 
-    The turns are put through a generator of one row: a filter is not pushed below it, so that turns
-    which are costly to read (printed arrays) are read once and not once more for the filter.
+    Turns can be costly to read (printed arrays), so they are read once and not again for the filter.
     """
-    df = _spoken(df, rules).select("*", F.explode(F.array(_kept(conversation, rules))).alias("_kept"))
+    df = computed_once(_spoken(df, rules), _kept=_kept(conversation, rules))
     df = df.where(F.size("_kept") > 0)
     columns.setdefault("src_model", F.lit(rules.src_model))
     return records(
