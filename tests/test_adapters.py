@@ -194,3 +194,13 @@ def test_json_array(spark, tmp_path):
     df = readers.read_json_array(spark, str(tmp_path / "a.json"), schemas.SHARED_CHAT, str(tmp_path / "p"))
     (only,) = registry.source_records("sharegpt", readers.with_positions(df)).collect()
     assert (only.id, turns(only)) == ("x", [("user", "q")])
+
+
+def test_files_with_one_number_are_refused(spark, tmp_path):
+    for name in ("train-0", "test-0"):
+        spark.createDataFrame([(1,)], "x int").coalesce(1).write.parquet(str(tmp_path / "w" / name))
+        (part,) = (tmp_path / "w" / name).glob("*.parquet")
+        (tmp_path / f"{name}.parquet").write_bytes(part.read_bytes())
+    df = readers.read_parquet(spark, [str(tmp_path / "train-0.parquet"), str(tmp_path / "test-0.parquet")])
+    with pytest.raises(ValueError, match="same file number 0"):
+        readers.with_positions(df)

@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(number: Column, *values: Column | str | None) -> Column:
+def pick(number: Column, *values: Column | str | None) -> Column:
     """``values[number % len(values)]``."""
     out = F.when(F.lit(False), F.lit(None).cast("string"))
     for i, value in enumerate(values):
@@ -76,7 +76,7 @@ def sender_turns(spark: SparkSession, sf_dir: str, blanks: bool = False) -> Data
 
 
 def chat_language() -> Column:
-    return _pick(F.col("row_idx"), "English", "english", "German", None)
+    return pick(F.col("row_idx"), "English", "english", "German", None)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +88,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("turn") > 0, F.concat("id", F.lit("_"), F.col("turn") - 1)).alias("parent_id"),
         F.concat(F.lit(" "), F.col("content"), F.lit("\n")).alias("text"),
         F.when(F.col("role") == "assistant", "assistant").otherwise("prompter").alias("role"),
-        _pick(number, "en", "en", "EN", None).alias("lang"),
+        pick(number, "en", "en", "EN", None).alias("lang"),
         F.when(number % 5 == 0, F.lit(None)).otherwise(number % 5 == 1).alias("deleted"),
     )
 
@@ -102,7 +102,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_language() -> Column:
     lang = F.col("lang")
-    return _pick(F.col("doc_id"), F.upper(lang), lang, F.initcap(lang), lang, None)
+    return pick(F.col("doc_id"), F.upper(lang), lang, F.initcap(lang), lang, None)
 
 
 def document_ids() -> Column:

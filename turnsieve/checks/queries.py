@@ -184,7 +184,7 @@ def forum_interrogative(spark, sf_dir):
 
 def _preference_chat(spark, sf_dir):
     turns = fr.chat_turns(spark, sf_dir, blanks=True)
-    turns = turns.withColumn("conversation_type", fr._pick(F.col("row_idx"), "guided", "open", None))
+    turns = turns.withColumn("conversation_type", fr.pick(F.col("row_idx"), "guided", "open", None))
     return adapters.chat_records_from_turns(turns, adapters.PREFERENCE_CHAT)
 
 
@@ -281,7 +281,7 @@ def chat_log(spark, sf_dir):
         ).alias("conversation"),
         F.lit(1).alias("turn"),
         fr.document_language().alias("language"),
-        fr._pick(F.col("doc_id"), "France", None).alias("country"),
+        fr.pick(F.col("doc_id"), "France", None).alias("country"),
     )
     return registry.source_records("wildchat", df).select(
         "id", *RECORD_COLUMNS, "timestamp", "country", "src_turn", "n_user_turns"
@@ -464,6 +464,7 @@ def request_ids(spark, sf_dir):
 
 def _packed(spark, sf_dir) -> DataFrame:
     df = ordinals.with_ordinal(_numbered(spark, sf_dir), ["source", "file_idx"])
+    df = written(df, "numbered")
     packed = shards.pack_shards(
         df, ["source", "file_idx"], max_rows=50, max_bytes=100_000, carry=["row_idx", "n_bytes"]
     )

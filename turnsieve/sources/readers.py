@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,25 +20,34 @@ def read_parquet(
     return reader.parquet(*paths)
 
 
-def with_positions(df: DataFrame, file_order: str = r"(\d+)[^/0-9]*$") -> DataFrame:
+def with_positions(df: DataFrame, file_number: str = r"^[^0-9]*(\d+)") -> DataFrame:
     """Add ``file_idx`` and ``row_idx`` to a fresh Parquet scan.
 
-    The file index is the last number in the file's name, so it depends neither on file times nor on
-    the order of listing. Row indexes are physical and survive splits, retries and re-runs.
+    The file index is a number in the file's name (the first one, unless ``file_number`` says
+    otherwise), so it depends neither on file times nor on the order of listing. Row indexes are
+    physical and survive splits, retries and re-runs. Files that would share an index are refused:
+    their rows could not be told apart.
     """
-    name = F.col("_metadata.file_name")
+    if not df.isStreaming:
+        _check_numbers(df.inputFiles(), file_number)
+    number = F.regexp_extract(F.col("_metadata.file_name"), file_number, 1)
     return df.select(
         "*",
-        F.coalesce(
-            F.try_to_number(
-                F.nullif(F.regexp_extract(name, file_order, 1), F.lit("")), F.lit("999999999999999999")
-            ).cast("bigint"),
-            F.lit(0),
-        ).alias("file_idx"),
+        F.when(number == "", F.lit("0")).otherwise(number).cast("bigint").alias("file_idx"),
         F.col("_metadata.row_index").alias("row_idx"),
     )
 
 
+def _check_numbers(files: list[str], file_number: str) -> None:
+    """Reads only the list of files that the driver has made for the scan."""
+    owner: dict[int, str] = {}
+    for path in files:
+        found = re.search(file_number, unquote(path.rsplit("/", 1)[-1]))
+        index = int(found.group(1)) if found else 0
+        if owner.setdefault(index, path) != path:
+            raise ValueError(f"{owner[index]} and {path} have the same file number {index}")
+
+
 def read_json_array(
     spark: SparkSession, path: str, schema: T.StructType, parquet_path: str | None = None
 ) -> DataFrame:
