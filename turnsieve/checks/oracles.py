@@ -95,7 +95,7 @@ CTES = {
                CASE WHEN doc_id % 29 = 0 THEN 'gone_' ELSE 'doc_' END || doc_id AS key,
                CASE WHEN doc_id % 17 > 0 THEN 2 * quality + doc_id % 2 END AS conceptual,
                CASE WHEN doc_id % 17 > 0 THEN (n_chars // 10) % 4 END AS novelty,
-               CASE WHEN doc_id % 17 > 0 THEN 3 - 2 * toxic END AS well_formed,
+               CASE WHEN doc_id % 17 > 0 THEN (3 - 2 * toxic)::BIGINT END AS well_formed,
                CASE WHEN doc_id % 17 = 0 THEN 'refusal' WHEN doc_id % 31 = 0 THEN NULL ELSE 'ok' END
                    AS status,
                CASE WHEN doc_id % 4 < 3 THEN lang END AS language,
@@ -117,7 +117,7 @@ CTES = {
                'batch_' || doc_id % 7 AS batch_id, n_chars, source, lang,
                CASE WHEN doc_id % 37 = 0 THEN 'errored' WHEN doc_id % 41 = 0 THEN 'expired'
                     WHEN doc_id % 43 = 0 THEN 'unknown' END AS not_answered,
-               2 * quality + doc_id % 2 AS c, (n_chars // 10) % 4 AS n, 3 - 2 * toxic AS w,
+               2 * quality + doc_id % 2 AS c, (n_chars // 10) % 4 AS n, (3 - 2 * toxic)::BIGINT AS w,
                '{"conceptual": ' AS opening,
                ', "novelty": ' || n || ', "well_formed": ' || w AS middle
         FROM labels JOIN documents USING (doc_id)""",
@@ -210,7 +210,7 @@ oracle("drop_blank_turns", "SELECT id, turn, role, content FROM kept", "chat_b",
 oracle("user_turns_only", "SELECT id, turn, role, content FROM chat_b WHERE role = 'user'", "chat_b")
 oracle(
     "fallback_conversation",
-    """SELECT 'philosophy_se' AS source, a.doc_id AS row_idx, 2 AS n_turns,
+    """SELECT 'philosophy_se' AS source, a.doc_id AS row_idx, 2::BIGINT AS n_turns,
               left(CASE WHEN a.doc_id % 5 = 0 THEN a.source ELSE a.text END, 100) AS title,
               'user: ' || CASE WHEN a.doc_id % 3 = 0 THEN a.source ELSE a.text END || chr(10)
                   || 'assistant: ' || coalesce(b.text, '') AS conversation
@@ -225,7 +225,7 @@ oracle(
 )
 oracle(
     "repair_stringified_turns",
-    """SELECT doc_id, 0 AS turn, 'user' AS role, text AS content FROM documents
+    """SELECT doc_id, 0::BIGINT AS turn, 'user' AS role, text AS content FROM documents
        UNION ALL SELECT doc_id, 1, 'assistant', source FROM documents""",
 )
 
@@ -249,7 +249,7 @@ oracle("html_to_text", f"SELECT page_id, {page_text('html')} AS text FROM pages"
 def forum(source: str, condition: str, full: bool = True) -> str:
     rest = ", url, base_score, timestamp, id" if full else ""
     return f"""
-        SELECT '{source}' AS source, page_id AS row_idx, 1 AS n_turns,
+        SELECT '{source}' AS source, page_id AS row_idx, 1::BIGINT AS n_turns,
                {strip(f"{strip('title')} || chr(10) || chr(10) || {page_text('html')}")} AS first_user,
                {strip('title')} AS title, 'English' AS language, 'human' AS src_model{rest}
         FROM posts WHERE {condition}"""
@@ -272,7 +272,7 @@ _ALSO = f", id, {_SHOWN} AS conversation"
 _ENGLISH_ROWS = "row_idx % 4 < 2"
 _FIRST_100 = "left(arg_min(content, turn), 100)"
 _TREE = f"""
-    SELECT 'oasst2' AS source, row_idx, 1 AS n_turns, {strip('content')} AS first_user,
+    SELECT 'oasst2' AS source, row_idx, 1::BIGINT AS n_turns, {strip('content')} AS first_user,
            NULL::VARCHAR AS title, 'English' AS language, 'human' AS src_model, id || '_' || turn AS id
     FROM chat_b
     WHERE turn = 0 AND role <> 'assistant' AND row_idx % 4 < 2 AND row_idx % 5 <> 1
@@ -281,7 +281,7 @@ _TREE = f"""
 
 def arena(source: str, content: str) -> str:
     return f"""
-        SELECT '{source}' AS source, doc_id AS row_idx, 1 AS n_turns, {content} AS first_user,
+        SELECT '{source}' AS source, doc_id AS row_idx, 1::BIGINT AS n_turns, {content} AS first_user,
                NULL::VARCHAR AS title, 'English' AS language, 'human' AS src_model, 'doc_' || doc_id AS id
         FROM docs WHERE lower(language) IN ('en', 'english') AND {strip('text')} <> ''"""
 
@@ -316,11 +316,11 @@ oracle("arena_chat", arena("arena_140k", "text || ' '"), "docs")
 oracle("arena_chat_printed", arena("arena_expert", "text"), "docs")
 oracle(
     "chat_log",
-    """SELECT 'hash_' || doc_id AS id, 'wildchat' AS source, doc_id AS row_idx, 2 AS n_turns,
+    """SELECT 'hash_' || doc_id AS id, 'wildchat' AS source, doc_id AS row_idx, 2::BIGINT AS n_turns,
               text AS first_user, NULL::VARCHAR AS title, language, source AS src_model,
               strftime(make_timestamp(1700000000000000 + doc_id * 500000), '%Y-%m-%dT%H:%M:%S')
                   || CASE WHEN doc_id % 2 = 1 THEN '.500000' ELSE '' END || '+00:00' AS timestamp,
-              CASE WHEN doc_id % 2 = 0 THEN 'France' END AS country, 1 AS src_turn, 1 AS n_user_turns
+              CASE WHEN doc_id % 2 = 0 THEN 'France' END AS country, 1::BIGINT AS src_turn, 1::BIGINT AS n_user_turns
        FROM docs""",
     "docs",
 )
@@ -404,7 +404,7 @@ oracle(
 oracle(
     "keep_first_incremental",
     f"""SELECT arg_min(doc_id, (run, doc_id)) AS doc_id, min(run) AS run
-        FROM (SELECT *, 1 + regexp_extract(source, '(\\d+)$', 1)::INT % 2 AS run FROM documents)
+        FROM (SELECT *, 1 + regexp_extract(source, '(\\d+)$', 1)::BIGINT % 2 AS run FROM documents)
         GROUP BY {key('text')}""",
 )
 oracle(
@@ -575,13 +575,13 @@ run_oracle(
 run_oracle(
     "manifest",
     f"""SELECT shard_id, custom_id, 'documents' AS source, coalesce(made_id, '') AS conversation_hash,
-               spoken AS language, source AS src_model, 1 AS src_turn, 1 AS n_turns,
+               spoken AS language, source AS src_model, 1::BIGINT AS src_turn, 1::BIGINT AS n_turns,
                left({collapse('text')}, 90) AS first_user_preview, length(prompt) AS prompt_chars
         FROM prepared""",
 )
 run_oracle(
     "requests",
-    """SELECT custom_id, 'test-model' AS model, 300 AS max_tokens, 'json_schema' AS format,
+    """SELECT custom_id, 'test-model' AS model, 300::BIGINT AS max_tokens, 'json_schema' AS format,
               'user' AS role, prompt FROM prepared""",
 )
 run_oracle(
@@ -595,7 +595,7 @@ run_oracle(
 
 def _cues(axis: str) -> str:
     found = " + ".join(f"contains(low, {quoted(c)})::INT" for c in fr.CUES[axis])
-    return f"least(3, {found})"
+    return f"least(3, {found})::BIGINT"
 
 
 _SCORED = f"""
@@ -685,7 +685,7 @@ oracle(
     "score_table",
     """SELECT coalesce(m.source, 'documents') AS source, conversation_hash AS key, conceptual, novelty,
               well_formed, status, NULL::VARCHAR AS src_model, NULL::VARCHAR AS timestamp,
-              NULL::VARCHAR AS country, m.language, CASE WHEN m.custom_id IS NOT NULL THEN 1 END AS n_turns,
+              NULL::VARCHAR AS country, m.language, CASE WHEN m.custom_id IS NOT NULL THEN 1::BIGINT END AS n_turns,
               base_score, NULL::VARCHAR AS url
        FROM results r LEFT JOIN manifests m USING (custom_id)""",
     *_READ, "manifests",
