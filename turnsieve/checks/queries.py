@@ -804,41 +804,42 @@ def first_hits(spark, sf_dir):
 # -- streams ------------------------------------------------------------------------------------------
 
 
-def _arriving_files(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
-    """Documents as a folder of files that arrive in the order of their numbers."""
-    folder = new_folder(spark, "arriving")
+def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Documents in four parts that arrive one after the other; together they are the whole table."""
     df = fr.documents(spark, sf_dir)
-    bounds = df.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = int(bounds[0]), int(bounds[1])
-    for part in range(4):  # four files, each written by Spark
-        first = low + part * (high + 1 - low) // 4
-        last = low + (part + 1) * (high + 1 - low) // 4 - 1
-        chosen = df.where(F.col("doc_id").between(first, last)).withColumn("file_idx", F.lit(part))
-        chosen.coalesce(1).write.mode("append").parquet(folder)
-    return folder, chosen.schema
+    low, high = df.agg(F.min("doc_id"), F.max("doc_id")).first()
+    step = (high - low) // 4 + 1
+    return [
+        df.where(F.col("doc_id").between(low + part * step, low + (part + 1) * step - 1))
+        .withColumn("file_idx", F.lit(part))
+        for part in range(4)
+    ]
 
 
 def _document_stream(df: DataFrame) -> DataFrame:
     return df.select("doc_id", "file_idx", F.col("doc_id").alias("row_idx"), F.col("text").alias("first_user"))
 
 
+def _streamed(spark: SparkSession, sf_dir: str, stream) -> DataFrame:
+    """Run the stream once per arrival, each time from its checkpoint."""
+    folder, out, checkpoint = (new_folder(spark, n) for n in ("arriving", "kept", "state"))
+    for part in _arrivals(spark, sf_dir):
+        part.write.mode("append").parquet(folder)
+        stream(
+            spark, folder, part.schema, _document_stream, out, checkpoint, files_per_batch=None
+        ).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query
 def stream_prepare(spark, sf_dir):
-    folder, schema = _arriving_files(spark, sf_dir)
-    out, checkpoint = new_folder(spark, "kept"), new_folder(spark, "state")
-    q = st_prepare.stream_prepare(spark, folder, schema, _document_stream, out, checkpoint)
-    q.awaitTermination()
     # which row of a key stays depends on arrival, so the keys are compared
-    return spark.read.parquet(out).select("digest")
+    return _streamed(spark, sf_dir, st_prepare.stream_prepare).select("digest")
 
 
 @query
 def stream_prepare_exact(spark, sf_dir):
-    folder, schema = _arriving_files(spark, sf_dir)
-    out, checkpoint = new_folder(spark, "kept"), new_folder(spark, "state")
-    q = st_prepare.stream_prepare_exact(spark, folder, schema, _document_stream, out, checkpoint)
-    q.awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "digest")
+    return _streamed(spark, sf_dir, st_prepare.stream_prepare_exact).select("doc_id", "digest")
 
 
 def _written_answers(spark: SparkSession, sf_dir: str) -> str:

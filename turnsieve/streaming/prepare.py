@@ -17,8 +17,13 @@ BATCH = "bid"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _stream(spark: SparkSession, folder: str, schema: T.StructType, files: int) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
+def _stream(
+    spark: SparkSession, folder: str, schema: T.StructType, files: int | None
+) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
+    return reader.parquet(folder)
 
 
 def stream_prepare(
@@ -28,7 +33,7 @@ def stream_prepare(
     to_records: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = 1,
     state_store: str | None = ROCKSDB,
 ) -> StreamingQuery:
     """Keep one row per text key over all files; the state holds digests only.
@@ -57,9 +62,10 @@ def stream_prepare_exact(
     out: str,
     checkpoint: str,
     order: Sequence[str] = ("file_idx", "row_idx"),
-    files_per_batch: int = 1,
+    files_per_batch: int | None = 1,
 ) -> StreamingQuery:
-    """Keep the first row per text key; the same rows as the batch operator when files come in order.
+    """Keep the first row per text key; the same rows as the batch operator when batches come in order:
+    files one by one, or, with ``files_per_batch=None``, all that have arrived since the last run.
 
     Every micro-batch is reduced by itself, then by the digests that earlier batches have kept, and
     overwrites its own folder. A batch that is replayed after a failure reads and writes the same.
