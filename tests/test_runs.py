@@ -27,7 +27,8 @@ TEXTS = ["one", "ONE ", "two\n\"q\"", "", " ", "é漢😀", "x" * 1200, "y" * 50
 
 
 def test_prepare(spark):
-    out = prepare.prepare(chats(spark, TEXTS), CONFIG).orderBy("file_idx", "row_idx").collect()
+    df = prepare.with_prompt(prepare.prepare(chats(spark, TEXTS), CONFIG), CONFIG)
+    out = df.orderBy("file_idx", "row_idx").collect()
     # each first text stays, the empty key once; ids and ordinals are of one file
     assert [(r.file_idx, r.row_idx) for r in out] == [(0, 0), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (2, 1)]
     assert [r.ordinal for r in out] == [0, 1, 2, 0, 1, 2, 0]
@@ -67,12 +68,12 @@ def test_only_bounded_bodies_are_shuffled(spark):
 
 
 def test_shards_round_trip(spark, tmp_path):
-    df = prepare.prepare(chats(spark, TEXTS), CONFIG)
+    df = session.written(prepare.prepare(chats(spark, TEXTS), CONFIG), "requests")
     folder = str(tmp_path / "shards")
-    sinks.write_shards(prepare.request_lines(df, CONFIG), folder)
+    sinks.write_shards(df, folder, lambda requests: prepare.request_lines(requests, CONFIG))
     assert all(p.suffix == ".gz" for p in (tmp_path / "shards").glob("*/part*"))
     back = {(r.shard_id, r.custom_id): r for r in readers.read_shard_requests(spark, folder).collect()}
-    want = df.collect()
+    want = prepare.with_prompt(df, CONFIG).collect()
     assert len(back) == len(want)
     for r in want:
         line = back[r.shard_id, r.custom_id]
@@ -80,7 +81,6 @@ def test_shards_round_trip(spark, tmp_path):
         assert line.params.output_config.toPython() == CONFIG.output_config()
     manifest = readers.read_shards(spark, folder).select("shard_id", "custom_id", "manifest.*")
     assert {(r.conversation_hash, r.n_turns) for r in manifest.collect()} == {(r.id, 1) for r in want}
-    spark.sparkContext.setJobDescription(None)
 
 
 def test_guard(spark, tmp_path):
@@ -109,8 +109,9 @@ def bad_scorer():
 
 
 def test_scoring_failures_are_rows(spark):
-    df = prepare.prepare(chats(spark, TEXTS), CONFIG)
-    raw = scoring.score_prompts(df, bad_scorer, partitions=3)
+    df = session.written(prepare.prepare(chats(spark, TEXTS), CONFIG), "requests")
+    static = render.static_text(CONFIG.prefix, CONFIG.suffix)
+    raw = scoring.score_prompts(df, bad_scorer, prompt="body", static=static, partitions=3)
     out = results.parse_responses(raw).collect()
     assert len(out) == df.count()
     assert sorted(r.status for r in out) == ["errored"] + ["ok"] * (len(out) - 1)
@@ -128,7 +129,7 @@ def test_publish_patch_and_rebuild(spark, tmp_path):
     source = chats(spark, TEXTS)
     df = session.written(prepare.prepare(source, CONFIG), "requests")
     cues = {a: ("x", "n", "e") for a in ("conceptual", "novelty", "well_formed")}
-    raw = session.written(scoring.score_prompts(df, scoring.LexicalScorer(cues)), "raw")
+    raw = session.written(scoring.score_prompts(df, scoring.LexicalScorer(cues), prompt="body"), "raw")
     full = results.attach_manifest(results.check_range(results.parse_responses(raw)), prepare.manifest(df))
     full = full.withColumn("batch_id", F.lit("b"))
     sinks.write_results(full, str(tmp_path / "results"))
@@ -227,6 +228,6 @@ def test_cross_source_folder(spark):
 
 
 def test_rendered_conversation_survives_the_round_trip(spark):
-    df = prepare.prepare(chats(spark, ["a\n\nb", "plain"]), CONFIG)
+    df = prepare.with_prompt(prepare.prepare(chats(spark, ["a\n\nb", "plain"]), CONFIG), CONFIG)
     back = render.explode_rendered_turns(df.select("custom_id", "prompt")).orderBy("custom_id").collect()
     assert [r.content for r in back] == ["a\n\nb", "plain"]

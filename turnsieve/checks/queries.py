@@ -537,7 +537,9 @@ def requests(spark, sf_dir):
 def write_read_shards(spark, sf_dir):
     """Shards written as gzip JSON lines and read back without their metadata."""
     folder = new_folder(spark, "shards")
-    sinks.write_shards(prep.request_lines(_prepared(spark, sf_dir), fr.RUN), folder)
+    sinks.write_shards(
+        _prepared(spark, sf_dir), folder, lambda df: prep.request_lines(df, fr.RUN)
+    )
     return readers.read_shard_requests(spark, folder).select(
         "shard_id", "custom_id", "fingerprint",
         F.length(F.get("params.messages", F.lit(0))["content"]).alias("prompt_chars"),
@@ -551,9 +553,14 @@ def write_read_shards(spark, sf_dir):
 def _scored(spark, sf_dir) -> DataFrame:
     df = fr.documents(spark, sf_dir)
     conversation = F.array(tn.turn(F.lit("user"), F.col("text")))
-    df = df.select("doc_id", conversation.alias("conversation"), F.lit(1).alias("n_turns"))
-    prompts = render.render_prompts(df, fr.PREFIX, fr.SUFFIX)
-    raw = scoring.score_prompts(prompts, scoring.LexicalScorer(fr.CUES), keys=["doc_id"])
+    bodies = df.select("doc_id", render.rendered_body(conversation, F.lit(1)).alias("body"))
+    raw = scoring.score_prompts(
+        bodies,
+        scoring.LexicalScorer(fr.CUES),
+        keys=["doc_id"],
+        prompt="body",
+        static=render.static_text(fr.PREFIX, fr.SUFFIX),
+    )
     return results.parse_responses(raw)
 
 

@@ -43,12 +43,15 @@ def score_prompts(
     make_scorer: Callable[[], Scorer],
     keys: Sequence[str] = ("shard_id", "custom_id"),
     prompt: str = "prompt",
+    static: tuple[str, str] = ("", ""),
     batch_size: int = 64,
     partitions: int | None = None,
 ) -> DataFrame:
     """Raw responses ``(keys…, result_type, stop_reason, text, input_tokens, output_tokens)``.
 
-    ``make_scorer`` is called once per task, so a client is opened where it is used. ``partitions``
+    ``make_scorer`` is called once per task, so a client is opened where it is used. ``static`` is put
+    around every prompt inside the task, so that a column of bodies can be scored without moving the
+    static text (``render.static_text``) through a shuffle or through Arrow. ``partitions``
     sets how many tasks score at once and how much a lost executor has to score again. A scorer may
     be costly and is rarely repeatable: write the result (``session.written``) before using it twice.
     """
@@ -57,12 +60,14 @@ def score_prompts(
         slim = slim.repartition(partitions, *keys)
     schema = T.StructType([slim.schema[k] for k in keys] + schemas.RESPONSE.fields)
 
+    before, after = static
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for pdf in batches:
             for start in range(0, len(pdf), batch_size):
                 part = pdf.iloc[start : start + batch_size]
-                answers = _answers(scorer, part["_prompt"].tolist())
+                answers = _answers(scorer, [before + p + after for p in part["_prompt"]])
                 out = part[[*keys]].reset_index(drop=True)
                 for name in _FIELDS:
                     out[name] = [a.get(name) for a in answers]

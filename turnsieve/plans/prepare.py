@@ -109,22 +109,29 @@ def prepare(
     rules: Rules = CHAT_LOG,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Requests of a run: position, ordinal, ids, sizes, metadata and the full prompt.
+    """Requests of one source: position, ordinal, ids, sizes, metadata and the body of the prompt.
 
     Survivors and their slim numbering are written once and read back, because the packing reads the
-    slim rows twice and the wide rows are joined to the packing by position.
+    slim rows more than once and the wide rows are joined to the packing by position. The static
+    prompt text, by far the longer part, is added where a prompt is used, behind the last shuffle:
+    by :func:`request_lines`, by the scorer's task, or by :func:`with_prompt`.
     """
     first = written(survivors(records, config, rules), "survivors")
     slim = written(numbered(first, config, rules), "numbered")
     plan = packed(slim, config, rules, block_rows)
     return (
         first.join(plan, POSITION)
-        .withColumn("prompt", full_prompt(F.col("body"), config.prefix, config.suffix))
         .withColumn("fingerprint", F.lit(config.fingerprint))
-        .drop("body", "prompt_json_chars", "digest")
+        .drop("prompt_json_chars", "digest")
     )
 
 
+def with_prompt(requests: DataFrame, config: RunConfig) -> DataFrame:
+    """The full prompt in place of its body."""
+    prompt = full_prompt(F.col("body"), config.prefix, config.suffix)
+    return requests.withColumn("prompt", prompt).drop("body")
+
+
 def manifest(requests: DataFrame) -> DataFrame:
     """Metadata by shard and request id, without the prompt."""
     named = requests.withColumnRenamed("id", "conversation_hash")
@@ -134,7 +141,8 @@ def manifest(requests: DataFrame) -> DataFrame:
 def request_lines(requests: DataFrame, config: RunConfig) -> DataFrame:
     """Shard lines: id, nested parameters, nested metadata, and the fingerprint of the run."""
     named = requests.withColumnRenamed("id", "conversation_hash")
-    message = F.struct(F.lit("user").alias("role"), F.col("prompt").alias("content"))
+    prompt = full_prompt(F.col("body"), config.prefix, config.suffix)
+    message = F.struct(F.lit("user").alias("role"), prompt.alias("content"))
     return named.select(
         "shard_id",
         "ordinal",

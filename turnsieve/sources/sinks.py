@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_shards(requests: DataFrame, folder: str, order: str = "ordinal") -> None:
-    """Gzip JSON lines, one sub-folder per shard. Shards are size-capped, so one task holds one."""
+def write_shards(
+    requests: DataFrame,
+    folder: str,
+    to_lines: Callable[[DataFrame], DataFrame],
+    order: str = "ordinal",
+) -> None:
+    """Gzip JSON lines, one sub-folder per shard. Shards are size-capped, so one task holds one.
+
+    ``to_lines`` makes the lines (see :func:`turnsieve.plans.prepare.request_lines`); it is applied
+    behind the shuffle, which so moves the bodies of the prompts and not their static text.
+    """
+    arranged = requests.repartition("shard_id").sortWithinPartitions("shard_id", order)
     (
-        requests.repartition("shard_id")
-        .sortWithinPartitions("shard_id", order)
+        to_lines(arranged)
         .select("shard_id", "custom_id", "params", "manifest", "fingerprint")
         .write.mode("overwrite")
         .partitionBy("shard_id")
