@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash
-from .common import table
+from . import decontaminate, packing, simhash
+from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,39 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@_registered
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that lie in a passage of ten words of a benchmark item."""
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WORDS = f"[x FOR x IN string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_SPLIT}') IF x <> '']"
+
+ORACLES["op10_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+  i AS (SELECT item_id, {_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+  w AS (SELECT DISTINCT item_id, least(10, len(ws)) AS n, ws[p : p + least(10, len(ws)) - 1] AS win
+        FROM i, unnest(range(1, greatest(2, len(ws) - 8))) AS u(p) WHERE len(ws) > 0),
+  lengths AS (SELECT DISTINCT n FROM w),
+  hit AS (SELECT doc_id, item_id, p, w.n
+          FROM (SELECT doc_id, n, p, ws[p : p + n - 1] AS win
+                FROM d, lengths, unnest(range(1, len(ws) - n + 2)) AS u(p)) AS c
+          JOIN w ON w.n = c.n AND w.win = c.win),
+  words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM hit, unnest(range(p, p + n)) AS u(q) GROUP BY doc_id),
+  items AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
