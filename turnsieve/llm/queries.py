@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, simhash
+from . import decontaminate, linededup, packing, simhash
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,44 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@_registered
+def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents without the later copies of repeated runs of 50 words or more."""
+    found = linededup.deduplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("_lines").alias("n_lines"),
+        F.col("_gone").alias("n_deleted"),
+        F.col("_words_gone").alias("n_words_deleted"),
+        F.md5("text").alias("text_md5"),
+    )
+
+
+# A line goes when it lies in a run of 50 words or more that occurs earlier, too. The shortest such runs that
+# start or end at each line are enough: they are compared as whole lists of lines.
+ORACLES["op7_linededup"] = """
+WITH docs AS (SELECT row_number() OVER (ORDER BY doc_id) AS d, doc_id, text FROM documents),
+  lines AS (SELECT d, p, ls[p] AS line,
+              len([x FOR x IN string_split_regex(ls[p], '[\\x20\\x09-\\x0D]+') IF x <> '']) AS words
+            FROM (SELECT d, string_split(text, chr(10)) AS ls FROM docs WHERE text IS NOT NULL),
+              unnest(range(1, len(ls) + 1)) AS u(p)),
+  often AS (SELECT line FROM lines GROUP BY line HAVING count(*) > 1),
+  reps AS (SELECT *, p - row_number() OVER (PARTITION BY d ORDER BY p) AS g FROM lines SEMI JOIN often USING (line)),
+  sums AS (SELECT *, sum(words) OVER (PARTITION BY d, g ORDER BY p) AS after FROM reps),
+  ends AS (SELECT a.d, a.p AS f, min(b.p) AS t FROM sums a JOIN sums b
+             ON a.d = b.d AND a.g = b.g AND b.p >= a.p AND b.after - a.after + a.words >= 50 GROUP BY ALL
+           UNION
+           SELECT b.d, max(a.p) AS f, b.p AS t FROM sums a JOIN sums b
+             ON a.d = b.d AND a.g = b.g AND b.p >= a.p AND b.after - a.after + a.words >= 50 GROUP BY ALL),
+  runs AS (SELECT e.d, f, t, list(line ORDER BY p) AS content
+           FROM ends e JOIN lines l ON e.d = l.d AND l.p BETWEEN f AND t GROUP BY ALL),
+  again AS (SELECT d, f, t, row_number() OVER (PARTITION BY content ORDER BY d, f) AS nth FROM runs),
+  gone AS (SELECT DISTINCT d, p FROM again, unnest(range(f, t + 1)) AS u(p) WHERE nth > 1)
+SELECT docs.doc_id, CAST(count(p) AS BIGINT) AS n_lines, CAST(count(gone.d) AS BIGINT) AS n_deleted,
+  CAST(coalesce(sum(words) FILTER (gone.d IS NOT NULL), 0) AS BIGINT) AS n_words_deleted,
+  CASE WHEN any_value(text) IS NOT NULL
+    THEN md5(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (gone.d IS NULL), '')) END AS text_md5
+FROM docs LEFT JOIN lines USING (d) LEFT JOIN gone USING (d, p) GROUP BY docs.d, docs.doc_id
+"""
