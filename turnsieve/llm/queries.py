@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, packing, simhash
+from . import decontaminate, linededup, packing, simhash, toxicity
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,22 @@ SELECT docs.doc_id, CAST(count(p) AS BIGINT) AS n_lines, CAST(count(gone.d) AS B
     THEN md5(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (gone.d IS NULL), '')) END AS text_md5
 FROM docs LEFT JOIN lines USING (d) LEFT JOIN gone USING (d, p) GROUP BY docs.d, docs.doc_id
 """
+
+
+def _fold(n: int, doc_id: str = "doc_id") -> Column:
+    """The remainder that decides which labels may be learnt from; null ids have none."""
+    return F.crc32(F.col(doc_id).cast("string")) % n
+
+
+@_registered
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from four fifths of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(_fold(5) != 0))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
