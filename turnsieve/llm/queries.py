@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, packing, simhash, toxicity
+from . import decontaminate, licenses, linededup, packing, simhash, toxicity
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@_registered
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents, exact and with edits."""
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
