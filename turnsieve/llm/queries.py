@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, linededup, packing, simhash, toxicity
+from . import decontaminate, licenses, linededup, packing, sharding, simhash, toxicity
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in all documents, exact and with edits."""
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@_registered
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near-equal bytes."""
+    found = sharding.shards(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
