@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, linededup, packing, sharding, simhash, toxicity
+from . import decontaminate, licenses, linededup, packing, sharding, simhash, toxicity, warc
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,21 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_registered
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through ARC and WARC files and back."""
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+  d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+  f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
