@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: For ``str.translate``: lower-cases A-Z and nothing else.
-LOWER_ASCII = str.maketrans(UPPER, LOWER)
+#: For ``bytes.translate`` of UTF-8: lower-cases A-Z and makes a space of every other ASCII sign but a-z and 0-9.
+_WORD_BYTES = bytes(
+    b if b >= 0x80 or chr(b).islower() or chr(b).isdigit() else b + 32 if chr(b).isupper() else 0x20 for b in range(256)
+)
 
-#: Words of letters and digits: ASCII ones after lower-casing, and everything outside ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+def ascii_words(text: str | None) -> list[bytes]:
+    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text whose A-Z are lower-cased, in UTF-8."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ within ``NEAR`` words of its rarest one, in any order.
 
 from __future__ import annotations
 
-import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -24,16 +24,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import written
-from .common import LOWER_ASCII, WORD
+from .common import ascii_words
 
 WINDOW, NEAR = 10, 10
-SEGMENT_WORDS, BLOCK_WINDOWS = 1 << 20, 50_000
+SEGMENT_WORDS, BLOCK_WINDOWS = 1 << 19, 50_000
 #: Free places between two documents of a segment, so that no phrase or neighbourhood spans both.
 GAP = 4 * NEAR
 
 
-def words_of(text: str | None) -> list[str]:
-    return re.findall(WORD, (text or "").translate(LOWER_ASCII))
+def _numbering() -> defaultdict:
+    """Numbers for words, in the order in which they are first asked for."""
+    numbers: defaultdict = defaultdict()
+    numbers.default_factory = numbers.__len__
+    return numbers
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_words: int = SEGMENT_WORDS) -> DataFrame:
@@ -49,12 +52,14 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ids: list = []
         lengths: list[int] = []
         codes: list[np.ndarray] = []
-        vocabulary: dict[str, int] = {}
+        vocabulary = _numbering()
         kind, held = None, 0
 
         def segment() -> pa.RecordBatch:
             n = np.array(lengths, dtype=np.int64)
             code = np.concatenate(codes)
+            if len(vocabulary) < 1 << 16:
+                code = code.astype(np.uint16)  # sorted digit by digit
             place = np.arange(len(code)) + np.repeat(np.arange(len(n)) * GAP, n)
             order = np.argsort(code, kind="stable")
             sizes = np.bincount(code, minlength=len(vocabulary))
@@ -65,7 +70,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             row = [
                 pa.array([ids], pa.list_(kind)),
                 pa.array([lengths], pa.list_(pa.int32())),
-                pa.array([list(vocabulary)], pa.list_(pa.string())),
+                pa.array([[w.decode("utf-8", "replace") for w in vocabulary]], pa.list_(pa.string())),
                 pa.array([sizes], pa.list_(pa.int32())),
                 pa.array([gaps.astype("<i4").tobytes()], pa.binary()),
             ]
@@ -74,15 +79,14 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             kind = batch.schema.field(0).type
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words_of(text.as_py())
-                code = vocabulary.setdefault
+                words = ascii_words(text.as_py())
                 ids.append(id_)
                 lengths.append(len(words))
-                codes.append(np.array([code(w, len(vocabulary)) for w in words], dtype=np.int32))
+                codes.append(np.fromiter(map(vocabulary.__getitem__, words), dtype=np.int32, count=len(words)))
                 held += len(words) + GAP
                 if held >= segment_words:
                     yield segment()
-                    ids, lengths, codes, vocabulary, held = [], [], [], {}, 0
+                    ids, lengths, codes, vocabulary, held = [], [], [], _numbering(), 0
         if ids:
             yield segment()
 
@@ -105,7 +109,7 @@ def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
         for batch in batches:
             item, out = [], []
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words_of(text.as_py())
+                words = [w.decode("utf-8", "replace") for w in ascii_words(text.as_py())]
                 found = [words[i : i + window] for i in range(max(1, len(words) - window + 1))] if words else []
                 item += [id_] * len(found)
                 out += found
