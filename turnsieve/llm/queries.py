@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, linededup, packing, sharding, simhash, toxicity, warc
+from . import decontaminate, licenses, linededup, packing, quality, sharding, simhash, toxicity, warc
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,17 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f
 """
+
+
+@_registered
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from three quarters of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(_fold(4) != 2))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
