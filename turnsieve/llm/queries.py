@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, linededup, packing, quality, sharding, simhash, toxicity, warc
+from . import decontaminate, embeddings, licenses, linededup, packing, quality, sharding, simhash, toxicity, warc
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@_registered
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of all vectors, within their labels."""
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
