@@ -28,6 +28,14 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores after it the first that no column has in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder that no later step reads."""
     jvm = spark._jvm

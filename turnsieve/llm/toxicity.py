@@ -311,7 +311,8 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1 in a column ``name``, which must be free. Null texts count as empty."""
+    """``docs`` with the probability of label 1 in a column ``name``, in place of one of that name. Null texts count as empty."""
+    docs = docs.drop(name)
     at = docs.columns.index(text_col)
     # plain data: a broadcast is unpickled before the code of this package has been sent
     sent = docs.sparkSession.sparkContext.broadcast((model.language, model.weights, model.logistic))
