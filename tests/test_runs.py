@@ -60,11 +60,72 @@ def test_language_filter(spark):
     assert prepare.survivors(chats(spark, TEXTS, language=None), CONFIG).count() == 0
 
 
-def test_only_bounded_bodies_are_shuffled(spark):
-    plan = prepare.survivors(chats(spark, TEXTS), CONFIG)._jdf.queryExecution().executedPlan().toString()
-    above, below = plan.split("Exchange", 1)
-    assert "RUBRIC" not in below and "conversation#" not in below.split("Project", 1)[0]
-    assert below.count("Exchange") == 0
+@pytest.mark.parametrize(("rules", "shuffles"), [(prepare.CHAT_LOG, 1), (prepare.ADAPTER, 2)])
+def test_only_bounded_rows_are_shuffled(spark, tmp_path, rules, shuffles):
+    chats(spark, TEXTS).write.parquet(str(tmp_path / "chats"))
+    df = prepare.survivors(spark.read.parquet(str(tmp_path / "chats")), CONFIG, rules)
+    node, exchanges = df._jdf.queryExecution().executedPlan(), []
+    stack = [node]
+    while stack:
+        n = stack.pop()
+        if n.nodeName() == "AdaptiveSparkPlan":
+            stack.append(n.executedPlan())
+        if n.nodeName() == "Exchange":
+            exchanges.append(n.output().mkString(","))
+        stack += [n.children().apply(i) for i in range(n.children().length())]
+    assert len(exchanges) == shuffles
+    for columns in exchanges:
+        names = {c.split("#")[0] for c in columns.split(",")}
+        assert {"body", "first_user_preview"} <= names and not names & {"first_user", "conversation"}
+
+
+def test_stored_spellings_reach_the_reader(spark, tmp_path):
+    import dataclasses
+
+    rows = chats(spark, TEXTS, language="English").unionByName(chats(spark, ["three"], language="german"))
+    rows.write.parquet(str(tmp_path / "chats"))
+    run = dataclasses.replace(CONFIG, language="english", stored_languages=("English", "english"))
+    df = prepare.survivors(spark.read.parquet(str(tmp_path / "chats")), run)
+    assert "PushedFilters: [In(language, [English,english])" in df._jdf.queryExecution().toString()
+    assert df.count() == prepare.survivors(rows, CONFIG).count()
+
+
+def test_caps_are_settings(spark):
+    import dataclasses
+
+    whole = dataclasses.replace(CONFIG, max_turns=None, max_user_chars=None, max_other_chars=None)
+    bodies = [r.body for r in prepare.survivors(chats(spark, TEXTS), whole).collect()]
+    assert any("y" * 5000 in b for b in bodies)
+    assert set(config.drift(CONFIG.values(), whole)) == {"max_turns", "max_user_chars", "max_other_chars"}
+    assert whole.fingerprint != CONFIG.fingerprint
+
+
+def test_positions_of_any_size(spark):
+    rows = [("a", 2**40, 5), ("a", 2**40 - 1, 2**50), ("b", 20240115, 2**62), ("b", 20240115, 2**62 - 1), ("c", 2**62, 0), ("d", 0, 0)]
+    df = spark.createDataFrame(rows, "key string, file_idx long, row_idx long")
+    found = {r.key: (r.file_idx, r.row_idx) for r in rebuild.first_positions(df).collect()}
+    assert found == {"a": (2**40 - 1, 2**50), "b": (20240115, 2**62 - 1), "c": (2**62, 0), "d": (0, 0)}
+    assert "SortAggregate" not in rebuild.first_positions(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_made_up_ids_do_not_collide_with_own_ones(spark):
+    from turnsieve.operators import ordinals
+
+    rows = [(0, "row_000002"), (1, "x"), (2, ""), (3, "row_7"), (4, "r0000004")]
+    df = spark.createDataFrame(rows, "ordinal long, id string").withColumn("scope", F.lit(0))
+    ids = [r.custom_id for r in ordinals.with_request_id(df, ["scope"]).orderBy("ordinal").collect()]
+    assert ids == ["row_000000", "x", "row_000002", "row_000003", "r0000004"]
+
+
+def test_several_attempts_at_one_request(spark):
+    kinds = "shard_id string, custom_id string, status string, conceptual int, novelty int, well_formed int, reasoning string, input_tokens long, output_tokens long"
+    first = spark.createDataFrame([("0", "a", "errored", None, None, None, "", 0, 0), ("0", "b", "ok", 1, 1, 1, "", 1, 1)], kinds)
+    again = [("0", "a", "ok", 1, 1, 1, "x", 1, 1, 1), ("0", "a", "ok", 2, 2, 2, "y", 2, 2, 2), ("0", "a", "errored", None, None, None, "", 0, 0, 3)]
+    retried = spark.createDataFrame(again, kinds + ", attempt int")
+    rows = {r.custom_id: r for r in results.patch_results(first, retried, order=["attempt"]).collect()}
+    assert len(rows) == 2 and (rows["a"].reasoning, rows["b"].conceptual) == ("y", 1)
+    assert results.patch_results(first, retried).count() == 2
+    assert results.patch_counts(first, retried).first().fixed == 1
 
 
 def test_shards_round_trip(spark, tmp_path):
@@ -208,8 +269,10 @@ def test_block_sample_depends_on_the_seed_only(spark):
 def test_scan_and_caps(spark):
     df = spark.range(300).withColumnRenamed("id", "ordinal")
     assert [r.ordinal for r in select.sequential_scan(df, 298, 10).orderBy("ordinal").collect()] == [298, 299]
-    with pytest.raises(ValueError):
-        select.sequential_scan(df, -1)
+    assert select.sequential_scan(spark.range(120_000).withColumnRenamed("id", "ordinal"), 0, 110_000).count() == 110_000
+    for offset in (-1, 300):
+        with pytest.raises(ValueError):
+            select.sequential_scan(df, offset)
     verdicts = df.withColumn("conceptual", F.when(F.col("ordinal") % 2 == 0, 3))
     assert [r.ordinal for r in select.first_hits(verdicts, F.col("conceptual") >= 2, 2).collect()] == [0, 2]
 

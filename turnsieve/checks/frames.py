@@ -64,6 +64,18 @@ def chat_turns(spark: SparkSession, sf_dir: str, blanks: bool = False) -> DataFr
     )
 
 
+def long_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of ten conversations under one id: conversations of many more turns."""
+    number = F.floor(F.col("row_idx") / 10).cast("bigint")
+    return chat_turns(spark, sf_dir, blanks=True).select(
+        F.concat(F.lit("long_"), number).alias("id"),
+        number.alias("row_idx"),
+        (1000 * (F.col("row_idx") % 10) + F.col("turn")).alias("turn"),
+        "role",
+        "content",
+    )
+
+
 def sender_turns(spark: SparkSession, sf_dir: str, blanks: bool = False) -> DataFrame:
     """The same in ``from``/``value`` spelling."""
     role = F.col("role")
@@ -106,7 +118,8 @@ def document_language() -> Column:
 
 
 def document_ids() -> Column:
-    """Ids of every shape: usable, repeated, with a space, empty, null, too long, ending in a line feed."""
+    """Ids of every shape: usable, repeated, with a space, empty, null, too long, ending in a line feed, and
+    such as are made up for rows without one."""
     doc_id = F.col("doc_id")
     return (
         F.when(doc_id % 11 == 0, F.concat(F.lit("doc "), doc_id))
@@ -115,6 +128,8 @@ def document_ids() -> Column:
         .when(doc_id % 19 == 0, F.lpad(doc_id.cast("string"), 65, "0"))
         .when(doc_id % 23 == 0, F.lpad(doc_id.cast("string"), 64, "0"))
         .when(doc_id % 29 == 0, F.concat(F.lit("doc_"), doc_id, F.lit("\n")))
+        .when(doc_id % 31 == 0, F.concat(F.lit("row_"), F.lpad((doc_id % 250).cast("string"), 6, "0")))
+        .when(doc_id % 37 == 0, F.concat(F.lit("r"), F.lpad((doc_id + 1).cast("string"), 7, "0")))
         .when(doc_id % 5 == 0, F.concat(F.lit("doc_"), doc_id - 1))
         .otherwise(F.concat(F.lit("doc_"), doc_id))
     )
@@ -254,7 +269,7 @@ def unique_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw answers of every kind."""
+    """Raw answers of every kind; some to requests that nobody made."""
     doc_id = F.col("doc_id")
     c, n, w = (
         (2 * F.col("quality") + doc_id % 2).cast("string"),
@@ -290,7 +305,7 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return labelled(spark, sf_dir).select(
         F.lpad((doc_id % 7).cast("string"), 4, "0").alias("shard_id"),
-        F.concat(F.lit("doc_"), doc_id).alias("custom_id"),
+        F.concat(F.when(doc_id % 47 == 0, F.lit("none_")).otherwise(F.lit("doc_")), doc_id).alias("custom_id"),
         F.concat(F.lit("batch_"), doc_id % 7).alias("batch_id"),
         kind.alias("result_type"),
         F.when(doc_id % 13 == 0, F.lit("refusal")).otherwise(F.lit("end_turn")).alias("stop_reason"),
@@ -312,9 +327,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of requests; those in one language have none."""
+    """Metadata of all requests; answers with a made-up id find none."""
     doc_id = F.col("doc_id")
-    return documents(spark, sf_dir).where(F.col("lang") != "es").select(
+    return documents(spark, sf_dir).select(
         F.lpad((doc_id % 7).cast("string"), 4, "0").alias("shard_id"),
         F.concat(F.lit("doc_"), doc_id).alias("custom_id"),
         F.concat(F.lit("doc_"), doc_id).alias("conversation_hash"),
@@ -337,7 +352,7 @@ def keyed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = df.withColumn("_copy", F.lit(0)).unionByName(copies)
     both = both.select(
         "*",
-        (doc_id % 3).alias("file_idx"),
+        (20240115 + doc_id % 3).alias("file_idx"),  # files named by their date
         (2 * doc_id + F.col("_copy")).alias("row_idx"),
     )
     return records(

@@ -80,6 +80,8 @@ CTES = {
                     WHEN doc_id % 19 = 0 THEN lpad(doc_id::VARCHAR, 65, '0')
                     WHEN doc_id % 23 = 0 THEN lpad(doc_id::VARCHAR, 64, '0')
                     WHEN doc_id % 29 = 0 THEN 'doc_' || doc_id || chr(10)
+                    WHEN doc_id % 31 = 0 THEN 'row_' || lpad((doc_id % 250)::VARCHAR, 6, '0')
+                    WHEN doc_id % 37 = 0 THEN 'r' || lpad((doc_id + 1)::VARCHAR, 7, '0')
                     WHEN doc_id % 5 = 0 THEN 'doc_' || (doc_id - 1)
                     ELSE 'doc_' || doc_id END AS made_id
         FROM documents""",
@@ -113,7 +115,8 @@ CTES = {
         GROUP BY key""",
     # what each kind of answer must be read as
     "raw": """
-        SELECT doc_id, lpad((doc_id % 7)::VARCHAR, 4, '0') AS shard_id, 'doc_' || doc_id AS custom_id,
+        SELECT doc_id, lpad((doc_id % 7)::VARCHAR, 4, '0') AS shard_id,
+               CASE WHEN doc_id % 47 = 0 THEN 'none_' ELSE 'doc_' END || doc_id AS custom_id,
                'batch_' || doc_id % 7 AS batch_id, n_chars, source, lang,
                CASE WHEN doc_id % 37 = 0 THEN 'errored' WHEN doc_id % 41 = 0 THEN 'expired'
                     WHEN doc_id % 43 = 0 THEN 'unknown' END AS not_answered,
@@ -161,7 +164,7 @@ CTES = {
     "manifests": """
         SELECT lpad((doc_id % 7)::VARCHAR, 4, '0') AS shard_id, 'doc_' || doc_id AS custom_id,
                'doc_' || doc_id AS conversation_hash, source, lang AS language, doc_id % 50 AS base_score
-        FROM documents WHERE lang <> 'es'""",
+        FROM documents""",
     "copies": """
         SELECT 'doc_' || doc_id AS key, doc_id, text, 0 AS copy FROM documents""",
     # greedy packing of (scope, ordinal, n_bytes), at most 50 rows and 100,000 bytes
@@ -192,7 +195,21 @@ oracle(
               (row_number() OVER (PARTITION BY lang ORDER BY doc_id)) - 1 AS ordinal
        FROM documents""",
 )
-_SHOWN = "array_to_string(list_slice(list(role || ': ' || content ORDER BY turn), 1, 20), chr(10))"
+_SHOWN = "string_agg(role || ': ' || content, chr(10) ORDER BY turn)"
+_LONG = """
+    SELECT 'long_' || conv_id // 10 AS id, conv_id // 10 AS row_idx, 1000 * (conv_id % 10) + turn AS turn, role,
+           CASE WHEN (conv_id + turn) % 7 = 0 THEN '   ' ELSE text END AS content
+    FROM conversations"""
+_OF_LONG = """SELECT id, row_idx, count(*) AS n_turns, count(*) FILTER (role = 'user') AS n_user_turns,
+               coalesce(arg_min(content, turn) FILTER (role = 'user' AND content <> ''), '') AS first_user"""
+oracle("assemble_long_conversations", f"{_OF_LONG}, {_SHOWN} AS conversation FROM ({_LONG}) GROUP BY id, row_idx")
+oracle(
+    "assemble_heads",
+    f"""{_OF_LONG}, arg_min(content, turn) AS first_content,
+        string_agg(role || ': ' || content, chr(10) ORDER BY turn) FILTER (nth <= 20) AS head
+        FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn) AS nth FROM ({_LONG}))
+        GROUP BY id, row_idx""",
+)
 oracle(
     "assemble_conversations",
     f"""SELECT id, row_idx, count(*) AS n_turns, count(*) FILTER (role = 'user') AS n_user_turns,
@@ -451,9 +468,10 @@ oracle(
 
 def numbered(rows: str, scope: str, fallback: str) -> str:
     """Ordinals and request ids of rows ``(doc_id, made_id)``."""
-    usable = "regexp_full_match(coalesce(made_id, ''), '[A-Za-z0-9_-]{1,64}')"
     width = fallback[-1]
     name = fallback[:-1]
+    usable = f"""regexp_full_match(coalesce(made_id, ''), '[A-Za-z0-9_-]{{1,64}}')
+                 AND NOT regexp_full_match(coalesce(made_id, ''), '{name}[0-9]+')"""
     return f"""
         SELECT *, {scope} AS scope, (row_number() OVER (PARTITION BY {scope} ORDER BY doc_id)) - 1 AS ordinal,
                CASE WHEN {usable} AND doc_id = min(doc_id) OVER (PARTITION BY {scope}, made_id)
@@ -512,7 +530,8 @@ _SORTED_SCHEMA = (
     '"required": ["reasoning", "conceptual", "novelty", "well_formed"], "type": "object"}'
 )
 _TEMPLATE = fr.PREFIX + "<conversation>\n</conversation>" + fr.SUFFIX
-_FINGERPRINT = f"""left(sha256('{{"dedup_prefix": 300, "language": "en", "model": "test-model", "schema_sha": "'
+_FINGERPRINT = f"""left(sha256('{{"dedup_prefix": 300, "language": "en", "max_other_chars": 1500, "max_turns": 20, '
+    || '"max_user_chars": 4000, "model": "test-model", "schema_sha": "'
     || left(sha256({quoted(_SORTED_SCHEMA)}), 16) || '", "template_sha": "'
     || left(sha256({quoted(_TEMPLATE)}), 16) || '"}}'), 16)"""
 
@@ -656,19 +675,20 @@ oracle(
 oracle(
     "patch_results",
     """SELECT shard_id, custom_id, batch_id, CASE WHEN mended THEN 'ok' ELSE status END AS status,
-              CASE WHEN mended THEN 1 ELSE conceptual END AS conceptual,
+              CASE WHEN mended AND n_chars % 5 = 0 THEN 3 WHEN mended THEN 1 ELSE conceptual END AS conceptual,
               CASE WHEN mended THEN 2 ELSE novelty END AS novelty,
               CASE WHEN mended THEN 3 ELSE well_formed END AS well_formed,
               CASE WHEN mended THEN 'again' ELSE reasoning END AS reasoning,
               CASE WHEN mended THEN n_chars ELSE input_tokens END AS input_tokens,
               CASE WHEN mended AND doc_id % 3 > 0 THEN doc_id % 200 WHEN mended THEN 0
                    ELSE output_tokens END AS output_tokens
-       FROM (SELECT *, status <> 'ok' AND n_chars % 3 <> 0 AS mended FROM results)""",
+       FROM (SELECT *, status <> 'ok' AND (n_chars % 3 <> 0 OR n_chars % 5 = 0) AS mended FROM results)""",
     *_READ,
 )
 oracle(
     "patch_counts",
-    """SELECT count(*) FILTER (n_chars % 3 <> 0) AS fixed, count(*) FILTER (n_chars % 3 = 0) AS still_failing
+    """SELECT count(*) FILTER (n_chars % 3 <> 0 OR n_chars % 5 = 0) AS fixed,
+              count(*) FILTER (n_chars % 3 = 0 AND n_chars % 5 <> 0) AS still_failing
        FROM results WHERE status <> 'ok'""",
     *_READ,
 )
@@ -756,8 +776,9 @@ oracle(
 )
 oracle(
     "hit_prompts",
-    f"""SELECT s.shard_id, s.custom_id, {_AXES}, text AS prompt
-        FROM scores s LEFT JOIN documents d ON 'doc_' || doc_id = s.custom_id AND length(text) < 1000
+    f"""SELECT s.shard_id, CASE WHEN ord % 13 = 0 THEN 'none_' || ord ELSE s.custom_id END AS custom_id, {_AXES},
+               text AS prompt
+        FROM scores s LEFT JOIN documents d ON doc_id = ord AND ord % 13 > 0
         WHERE status = 'ok' AND conceptual >= 2 AND novelty >= 2 AND well_formed >= 2""",
     "scores",
 )
@@ -782,8 +803,8 @@ oracle(
 )
 _BUCKET = "CASE WHEN status IN ('ok', 'refusal') THEN status ELSE 'error' END"
 _STATUS_COUNTS = f"""
-    SELECT shard_id, {_BUCKET} AS bucket, count(*) AS n_rows FROM results GROUP BY ALL
-    UNION ALL SELECT NULL, {_BUCKET}, count(*) FROM results GROUP BY ALL"""
+    SELECT shard_id, {_BUCKET} AS bucket, count(*) AS n_rows, false AS is_total FROM results GROUP BY ALL
+    UNION ALL SELECT NULL, {_BUCKET}, count(*), true FROM results GROUP BY ALL"""
 oracle("status_counts", _STATUS_COUNTS, *_READ)
 oracle(
     "score_histogram",
@@ -801,15 +822,15 @@ oracle(
        FROM results""",
     *_READ,
 )
-_PROGRESS = """count(*) AS prepared, count(r.custom_id) AS collected, count(*) FILTER (status = 'ok') AS ok,
-    count(*) FILTER (status <> 'ok') AS failing,
-    count(DISTINCT CASE WHEN r.custom_id IS NOT NULL THEN q.shard_id END) AS shards_collected,
-    count(DISTINCT q.shard_id) AS shards
-    FROM requests q LEFT JOIN results r ON q.custom_id = r.custom_id"""
+_PROGRESS = """sum(prepared) AS prepared, sum(collected) AS collected, sum(ok) AS ok, sum(collected) - sum(ok) AS failing,
+    count(*) FILTER (collected > 0) AS shards_collected, count(*) AS shards
+    FROM (SELECT shard_id, (SELECT count(*) FROM results r WHERE r.shard_id = q.shard_id) AS collected,
+                 (SELECT count(*) FROM results r WHERE r.shard_id = q.shard_id AND status = 'ok') AS ok,
+                 count(*) AS prepared FROM requests q GROUP BY shard_id)"""
 oracle(
     "run_progress",
-    f"""SELECT q.shard_id, {_PROGRESS} GROUP BY q.shard_id
-        UNION ALL SELECT NULL, {_PROGRESS}""",
+    f"""SELECT shard_id, false AS is_total, {_PROGRESS} GROUP BY shard_id
+        UNION ALL SELECT NULL, true, {_PROGRESS}""",
     *_READ, "requests",
 )
 _YIELD = """count(*) AS n_rows, count(*) FILTER (status = 'ok' AND conceptual >= 2) AS conceptual_ge2,
@@ -820,12 +841,23 @@ _YIELD = """count(*) AS n_rows, count(*) FILTER (status = 'ok' AND conceptual >=
     FROM all_scores"""
 oracle(
     "yield_report",
-    f"SELECT source, {_YIELD} GROUP BY source UNION ALL SELECT NULL, {_YIELD}",
+    f"SELECT source, false AS is_total, {_YIELD} GROUP BY source UNION ALL SELECT NULL, true, {_YIELD}",
     "scores", "all_scores",
 )
 
 # -- windows of rows -------------------------------------------------------------------------------
 
+oracle(
+    "natural_keys",
+    """SELECT doc_id, 24::BIGINT AS key_chars, min(doc_id) OVER (PARTITION BY text) AS first_doc FROM documents""",
+)
+oracle(
+    "block_sample",
+    """WITH pages AS (SELECT doc_id, doc_id // 100 AS page, lang FROM documents),
+         drawn AS (SELECT DISTINCT page, md5(page || '_42') AS h FROM pages ORDER BY h, page LIMIT 5)
+       SELECT doc_id, page, lang FROM pages SEMI JOIN drawn USING (page)
+       QUALIFY row_number() OVER (PARTITION BY page ORDER BY md5(doc_id || '_42'), doc_id) <= 20""",
+)
 oracle("sequential_scan", "SELECT doc_id, text FROM documents WHERE doc_id >= 37 AND doc_id < 187")
 oracle(
     "trial_caps",

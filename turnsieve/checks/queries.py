@@ -83,6 +83,20 @@ def assemble_conversations_query(spark, sf_dir):
     )
 
 
+@query
+def assemble_long_conversations(spark, sf_dir):
+    """Conversations of dozens of turns; none is cut."""
+    df = assemble_conversations(fr.long_chat_turns(spark, sf_dir))
+    return df.select("id", "row_idx", "n_turns", "n_user_turns", "first_user", joined().alias("conversation"))
+
+
+@query
+def assemble_heads(spark, sf_dir):
+    """Their first twenty turns, with counts and first texts over all."""
+    df = assemble_conversations(fr.long_chat_turns(spark, sf_dir), head_turns=20)
+    return df.select("id", "row_idx", "n_turns", "n_user_turns", "first_user", "first_content", joined().alias("head"))
+
+
 @query
 def map_roles(spark, sf_dir):
     df = fr.sender_turns(spark, sf_dir)
@@ -362,7 +376,10 @@ def dedup_keys(spark, sf_dir):
 
 @query
 def natural_keys(spark, sf_dir):
-    return fr.documents(spark, sf_dir).select("doc_id", natural_key(F.col("text")).alias("key"))
+    """Length of each text's key, and the first document with the same key."""
+    df = fr.documents(spark, sf_dir).select("doc_id", natural_key(F.col("text")).alias("key"))
+    first = df.groupBy("key").agg(F.min("doc_id").alias("first_doc"))
+    return df.join(first, "key").select("doc_id", F.length("key").alias("key_chars"), "first_doc")
 
 
 @query
@@ -612,23 +629,27 @@ def retry_set(spark, sf_dir):
 
 
 def _retried(spark, sf_dir) -> DataFrame:
-    """Answers to a second attempt: those of the first with the text mended, some failing again."""
+    """Answers to two more attempts at every request: either may fail, and the last good one counts."""
     df = fr.answers(spark, sf_dir)
-    mended = F.lit('{"conceptual": 1, "novelty": 2, "well_formed": 3, "reasoning": "again"}')
-    again = F.col("input_tokens") % 3 == 0
-    df = df.withColumns(
-        {
-            "text": F.when(again, F.lit("{")).otherwise(mended),
-            "result_type": F.lit("succeeded"),
-            "stop_reason": F.lit("end_turn"),
-        }
-    )
-    return results.parse_responses(df)
+
+    def attempt(number: int, score: int, good: Column) -> DataFrame:
+        mended = F.lit(f'{{"conceptual": {score}, "novelty": 2, "well_formed": 3, "reasoning": "again"}}')
+        return df.withColumns(
+            {
+                "text": F.when(good, mended).otherwise(F.lit("{")),
+                "result_type": F.lit("succeeded"),
+                "stop_reason": F.lit("end_turn"),
+                "attempt": F.lit(number),
+            }
+        )
+
+    tokens = F.col("input_tokens")
+    return results.parse_responses(attempt(1, 1, tokens % 3 != 0).unionByName(attempt(2, 3, tokens % 5 == 0)))
 
 
 @query
 def patch_results(spark, sf_dir):
-    return results.patch_results(_results(spark, sf_dir), _retried(spark, sf_dir))
+    return results.patch_results(_results(spark, sf_dir), _retried(spark, sf_dir), order=["attempt"])
 
 
 @query
@@ -733,8 +754,10 @@ def browse_window(spark, sf_dir):
 
 @query
 def hit_prompts(spark, sf_dir):
-    hits = publish.strong_hits(fr.unique_scores(spark, sf_dir))
-    df = rebuild.prompts_of_hits(hits, fr.requests(spark, sf_dir).where(F.length("prompt") < 1000))
+    """Prompts of hits; some hits name requests that nobody made."""
+    named = F.when(F.col("ord") % 13 == 0, F.concat(F.lit("none_"), F.col("ord"))).otherwise(F.col("custom_id"))
+    hits = publish.strong_hits(fr.unique_scores(spark, sf_dir)).withColumn("custom_id", named)
+    df = rebuild.prompts_of_hits(hits, fr.requests(spark, sf_dir))
     return df.select("shard_id", "custom_id", *AXES, "prompt")
 
 

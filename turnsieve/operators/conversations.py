@@ -11,9 +11,6 @@ from .. import schemas
 from ..functions.text import text_or_empty
 from ..functions.turns import first_user_content, turn, user_turn_count
 
-#: Turns kept with a conversation built from a long table; the renderer shows no more than these.
-HEAD_TURNS = 20
-
 POSITION = ("file_idx", "row_idx")
 
 _LITERALS = {f.name: f.dataType for f in schemas.RECORD.fields}
@@ -48,23 +45,51 @@ def assemble_conversations(
     key: str = "id",
     carry: Sequence[str] = (),
     order: str = "turn",
-    head_turns: int = HEAD_TURNS,
+    head_turns: int | None = None,
 ) -> DataFrame:
     """Conversations of a long table ``(key, order, role, content)``; turns without a key are left out.
 
-    A conversation of any length becomes one bounded row: its first ``head_turns`` turns, and exact
-    values over all of its turns (``n_turns``, ``n_user_turns``, ``first_user``, ``first_content``).
-    Nothing downstream of the scan needs more; the whole text of a conversation stays in the long
-    table and is joined by key where it is wanted (``rebuild.rebuild_turns``). ``carry`` names metadata
-    columns that are equal on all turns of a conversation; of positions the smallest is taken.
+    A conversation becomes one row with all of its turns in order, and values over all of them
+    (``n_turns``, ``n_user_turns``, ``first_user``, ``first_content``). ``carry`` names metadata columns
+    that are equal on all turns of a conversation; of positions the smallest is taken. The table is
+    read and shuffled once.
+
+    A caller that only renders may ask for the first ``head_turns`` turns: the counts and first texts stay
+    exact, and a conversation of any length is a bounded row (see :func:`_bounded`). Conversations that
+    are too long for one row are rebuilt turn by turn (``rebuild.rebuild_turns``).
+    """
+    turns = turns.where(F.col(key).isNotNull())
+    placed = [c for c in POSITION if c in turns.columns]
+    if head_turns is not None:
+        return _bounded(turns, key, carry, order, placed, head_turns)
+    rows = turns.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct(order, "role", "content"))).alias("_turns"),
+        *([F.min(F.struct(*placed)).alias("_position")] if placed else []),
+        *[F.max(c).alias(c) for c in carry],
+    )
+    asked = F.filter("_turns", lambda t: (t["role"] == "user") & (text_or_empty(t["content"]) != ""))
+    return rows.select(
+        key,
+        *carry,
+        *[F.col(f"_position.{c}") for c in placed],
+        F.transform("_turns", lambda t: turn(t["role"], t["content"])).alias("conversation"),
+        F.size("_turns").cast("bigint").alias("n_turns"),
+        F.size(F.filter("_turns", lambda t: t["role"] == "user")).cast("bigint").alias("n_user_turns"),
+        text_or_empty(F.get(asked, F.lit(0))["content"]).alias("first_user"),
+        F.get("_turns", F.lit(0))["content"].alias("first_content"),
+    )
+
+
+def _bounded(
+    turns: DataFrame, key: str, carry: Sequence[str], order: str, placed: Sequence[str], head_turns: int
+) -> DataFrame:
+    """The first turns and exact values over all.
 
     Both branches shrink on the map side (the rank limit and partial aggregates), so one very long
     conversation sends a few rows per task. Both are hash-partitioned by the key already, so the merge
     join adds no shuffle and nothing is broadcast.
     """
-    turns = turns.where(F.col(key).isNotNull())
     asked = (F.col("role") == "user") & (text_or_empty(F.col("content")) != "")
-    placed = [c for c in POSITION if c in turns.columns]
     whole = turns.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_turns"),
         F.count_if(F.col("role") == "user").alias("n_user_turns"),

@@ -24,6 +24,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = POSITI
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def has_key(text: Column, prefix: int = DEDUP_PREFIX) -> Column:
+    return dedup_key(text_or_empty(text), prefix) != ""
+
+
 def with_text_digest(
     df: DataFrame,
     text: Column | None = None,

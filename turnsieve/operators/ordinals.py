@@ -77,13 +77,14 @@ def with_request_id(
     fallback: str = FILE_ID_FORMAT,
 ) -> DataFrame:
     """Request id: the row's own id when it has a usable shape and is the first such in ``scope``,
-    else one made of the row's ordinal.
+    else one made of the row's ordinal. An own id that looks like a made-up one is not usable, so ids
+    are unique in their scope.
 
     The first row of an id is found by a partial minimum and joined back by ordinal, which is unique:
     an id that a third of the rows share is never gathered in one task.
     """
     first = (
-        df.where(valid_id(F.col(own)))
+        df.where(valid_id(F.col(own)) & ~F.col(own).rlike(f"^{fallback.split('%')[0]}[0-9]+$"))
         .groupBy(*scope, own)
         .agg(F.min(ordinal).alias(ordinal))
         .select(*scope, ordinal, F.lit(True).alias("_first"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from .results import OK
 # Default thresholds.
 STRONG = 2
 
-#: Rows of one file are numbered below two to this power.
-ROW_BITS = 40
+#: Places of one file number in a folded position; row numbers are below it.
+_FILE_ROWS = 1 << 63
 
 
 def passes(
@@ -49,18 +50,20 @@ def selected_keys(scores: DataFrame, order: Sequence[str], **thresholds: int) ->
 def first_positions(source: DataFrame, position: Sequence[str] = ("file_idx", "row_idx")) -> DataFrame:
     """Where each key occurs first.
 
-    Reads only the key and the position. The pair is folded into one BIGINT, so that the minimum is a
-    hash aggregate with a partial step: of each key one 8-byte value per task is shuffled.
+    Reads only the key and the position. The pair is folded into one decimal that holds any two BIGINT
+    numbers, so that the minimum is a hash aggregate with a partial step: of each key one value per task
+    is shuffled. Numbers must not be negative.
     """
     *files, row = position
-    at = F.col(row).cast("bigint")
+    width = F.lit(Decimal(_FILE_ROWS))
+    at = F.col(row).cast("decimal(19,0)")
     if files:
-        at = F.shiftleft(F.col(files[0]).cast("bigint"), ROW_BITS) + at
-    first = source.groupBy("key").agg(F.min(at).alias("_at"))
-    parts = {row: F.col("_at").bitwiseAND((1 << ROW_BITS) - 1)} if files else {row: F.col("_at")}
+        at = F.col(files[0]).cast("decimal(19,0)") * width + at
+    first = source.groupBy("key").agg(F.min(at.cast("decimal(38,0)")).alias("_at"))
+    parts = {row: F.col("_at") % width if files else F.col("_at")}
     if files:
-        parts[files[0]] = F.shiftright("_at", ROW_BITS)
-    return first.select("key", *[parts[c].alias(c) for c in position])
+        parts[files[0]] = F.floor((F.col("_at") - F.col("_at") % width) / width)
+    return first.select("key", *[parts[c].cast("bigint").alias(c) for c in position])
 
 
 def rebuild_prompts(
@@ -70,13 +73,15 @@ def rebuild_prompts(
 ) -> DataFrame:
     """Selected keys with their first source row.
 
-    The slim frames are joined by key first, both with unique keys, so a key repeated in a third of
-    the source does no harm. The wide source is then joined by position, which is unique: it is not
+    The source's slim rows are cut to the selected keys before anything is grouped; that join is a filter
+    in the scan where the keys are few. The slim frames are then joined, both with unique keys, so a key
+    repeated in a third of the source does no harm. The wide source is then joined by position, which is unique: it is not
     shuffled when the winners are small enough to broadcast, which the size check of Spark
     (``spark.sql.autoBroadcastJoinThreshold``) decides, and is spread evenly when they are not.
     """
     position = [*position]
-    winners = selected.join(first_positions(source, position), "key").select("key", *AXES, *position)
+    wanted = source.select("key", *position).join(selected.select("key"), "key", "left_semi")
+    winners = selected.join(first_positions(wanted, position), "key").select("key", *AXES, *position)
     return source.drop("key", *AXES).join(winners, position).select(
         "key",
         "source",
@@ -97,7 +102,8 @@ def missing_keys(selected: DataFrame, source: DataFrame) -> DataFrame:
 
 def rebuild_coverage(selected: DataFrame, source: DataFrame) -> DataFrame:
     """One row: keys selected, found in the source, and missing from it."""
-    known = source.select("key").distinct().withColumn("_found", F.lit(True))
+    wanted = source.select("key").join(selected.select("key"), "key", "left_semi")
+    known = wanted.distinct().withColumn("_found", F.lit(True))
     return selected.join(known, "key", "left").agg(
         F.count(F.lit(1)).alias("selected"),
         F.count_if(F.col("_found")).alias("found"),

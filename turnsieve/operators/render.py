@@ -21,20 +21,25 @@ OMITTED_NOTE = "[%d later turn(s) omitted]"
 def rendered_body(
     conversation: Column,
     n_turns: Column,
-    max_turns: int = MAX_TURNS,
-    max_user_chars: int = MAX_USER_CHARS,
-    max_other_chars: int = MAX_OTHER_CHARS,
+    max_turns: int | None = MAX_TURNS,
+    max_user_chars: int | None = MAX_USER_CHARS,
+    max_other_chars: int | None = MAX_OTHER_CHARS,
 ) -> Column:
     """The part of a prompt that differs between conversations: capped turns and the omitted note.
 
+    A cap of ``None`` is none.
+
     ``conversation`` may hold more turns than are shown, or just the shown ones; ``n_turns`` is the
-    true number. The result is bounded by the caps.
+    true number. The result is bounded by the caps, where all are set.
     """
 
+    def capped(text: Column, cap: int | None) -> Column:
+        return text if cap is None else truncate(text, cap)
+
     def shown(t: Column, i: Column) -> Column:
         text = text_or_empty(t["content"])
-        text = F.when(t["role"] == "user", truncate(text, max_user_chars)).otherwise(
-            truncate(text, max_other_chars)
+        text = F.when(t["role"] == "user", capped(text, max_user_chars)).otherwise(
+            capped(text, max_other_chars)
         )
         role = F.coalesce(t["role"], F.lit("None"))
         # not format_string: it would scan the text for the format on every turn
@@ -49,6 +54,8 @@ def rendered_body(
             F.lit(f"\n{TURN_CLOSE}"),
         )
 
+    if max_turns is None:
+        return F.array_join(F.transform(conversation, shown), "")
     before, after = OMITTED_NOTE.split("%d")
     note = F.when(
         n_turns > max_turns,

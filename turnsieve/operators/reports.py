@@ -62,15 +62,19 @@ def status_bucket(status: Column) -> Column:
 
 
 def status_counts(results: DataFrame) -> DataFrame:
-    """Rows per shard and bucket, and per bucket in total (``shard_id`` null)."""
+    """Rows per shard and bucket, and per bucket in total (``is_total``, and ``shard_id`` null)."""
     counts = results.groupBy("shard_id", status_bucket(F.col("status")).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return (
         counts.rollup("bucket", "shard_id")
-        .agg(F.sum("n").alias("n_rows"), F.grouping("bucket").alias("_all"))
+        .agg(
+            F.sum("n").alias("n_rows"),
+            F.grouping("bucket").alias("_all"),
+            (F.grouping("shard_id") == 1).alias("is_total"),
+        )
         .where(F.col("_all") == 0)
-        .select("shard_id", "bucket", "n_rows")
+        .select("shard_id", "bucket", "n_rows", "is_total")
     )
 
 
@@ -98,7 +102,7 @@ def session_counters(verdicts: DataFrame, hit: Column) -> DataFrame:
 
 
 def run_progress(requests: DataFrame, results: DataFrame) -> DataFrame:
-    """Per shard: prepared, collected, ok and failing rows, and the same for the run (null shard).
+    """Per shard: prepared, collected, ok and failing rows, and the same for the run (``is_total``).
 
     Both sides are counted per shard before they are joined, so no request meets its result.
     """
@@ -115,11 +119,12 @@ def run_progress(requests: DataFrame, results: DataFrame) -> DataFrame:
         (F.sum("collected") - F.sum("ok")).alias("failing"),
         F.count_if(F.col("collected") > 0).alias("shards_collected"),
         F.count(F.lit(1)).alias("shards"),
+        (F.grouping("shard_id") == 1).alias("is_total"),
     )
 
 
 def yield_report(scores: DataFrame) -> DataFrame:
-    """Per source and in total (null source): rows, conceptual, strong, most novel, strong rate."""
+    """Per source and in total (``is_total``): rows, conceptual, strong, most novel, strong rate."""
     ok = F.col("status") == OK
     counted = {
         "n_rows": F.count(F.lit(1)),
@@ -128,7 +133,9 @@ def yield_report(scores: DataFrame) -> DataFrame:
         "novelty_3": F.count_if(ok & (F.col("novelty") == MAX_SCORE)),
     }
     by_source = scores.groupBy("source").agg(*[c.alias(n) for n, c in counted.items()])
-    report = by_source.rollup("source").agg(*[F.sum(n).alias(n) for n in counted])
+    report = by_source.rollup("source").agg(
+        *[F.sum(n).alias(n) for n in counted], (F.grouping("source") == 1).alias("is_total")
+    )
     return report.withColumn("strong_rate", F.col("strong") / F.col("n_rows"))
 
 

@@ -120,11 +120,19 @@ def retry_set(results: DataFrame, requests: DataFrame, max_tokens: int = RETRY_M
     return requests.join(failed, [*KEYS], "left_semi").withColumn("max_tokens", cap.cast("bigint"))
 
 
-def patch_results(results: DataFrame, retried: DataFrame) -> DataFrame:
-    """Rows that were not ok take the values of an ok retry; all others stay as they are."""
-    new = retried.where(F.col("status") == OK).select(
-        *KEYS, *[F.col(c).alias(f"_{c}") for c in _PATCHED]
-    )
+def last_ok(retried: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One ok retry for each request: the last in ``order``, or without one the largest by its values.
+    A partial maximum, so that any number of attempts is one row per task."""
+    values = F.struct(*_PATCHED)
+    order = F.struct(*order) if order else values
+    last = retried.where(F.col("status") == OK).groupBy(*KEYS).agg(F.max_by(values, order).alias("_new"))
+    return last.select(*KEYS, *[F.col(f"_new.{c}").alias(f"_{c}") for c in _PATCHED])
+
+
+def patch_results(results: DataFrame, retried: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Rows that were not ok take the values of their last ok retry; all others stay as they are. A
+    request that was retried more than once still has one row."""
+    new = last_ok(retried, order)
     joined = results.join(new, [*KEYS], "left")
     use = (F.col("status") != OK) & F.col("_status").isNotNull()
     # the condition reads the old status, so all columns are set in one projection
@@ -138,7 +146,7 @@ def patch_results(results: DataFrame, retried: DataFrame) -> DataFrame:
 
 def patch_counts(results: DataFrame, retried: DataFrame) -> DataFrame:
     """One row: how many rows a patch mends and how many are still failing."""
-    new = retried.where(F.col("status") == OK).select(*KEYS, F.lit(True).alias("_mended"))
+    new = retried.where(F.col("status") == OK).select(*KEYS).distinct().withColumn("_mended", F.lit(True))
     failed = results.where(F.col("status") != OK).join(new, [*KEYS], "left")
     return failed.agg(
         F.count_if(F.col("_mended")).alias("fixed"),
@@ -146,11 +154,11 @@ def patch_counts(results: DataFrame, retried: DataFrame) -> DataFrame:
     )
 
 
-def patched_shards(results: DataFrame, retried: DataFrame) -> DataFrame:
+def patched_shards(results: DataFrame, retried: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Rows of only those shards that a patch changes, for a partition-wise overwrite."""
     new = retried.where(F.col("status") == OK).select(*KEYS)
     changed = results.where(F.col("status") != OK).join(new, [*KEYS], "left_semi")
-    return patch_results(results, retried).join(
+    return patch_results(results, retried, order).join(
         changed.select("shard_id").distinct(), "shard_id", "left_semi"
     )
 

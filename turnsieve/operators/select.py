@@ -58,10 +58,20 @@ def browse_window(
 def sequential_scan(
     df: DataFrame, offset: int, rows: int = SCAN_LIMIT, ordinal: str = "ordinal"
 ) -> DataFrame:
-    """Rows by number; a range filter, so files and row groups outside of it are skipped."""
-    if offset < 0:
+    """Rows by number; a range filter, so files and row groups outside of it are skipped.
+
+    As many rows as are asked for. An offset below zero or past the last row is refused; the last number
+    is a maximum over one column, which Parquet answers from its footers.
+    """
+    last = df.agg(F.max(ordinal)).first()[0]
+    if offset < 0 or last is None or offset > last:
         raise ValueError(f"offset {offset} is out of range")
-    return df.where(F.col(ordinal).between(offset, offset + min(rows, SCAN_LIMIT) - 1))
+    return df.where(F.col(ordinal).between(offset, offset + rows - 1))
+
+
+def _drawn(number: str, seed: int) -> Column:
+    """A seeded hash that any engine has, so that a sample can be drawn again elsewhere."""
+    return F.md5(F.concat_ws("_", F.col(number).cast("string"), F.lit(str(seed))))
 
 
 def block_sample(
@@ -77,16 +87,15 @@ def block_sample(
     Depends on the seed and the row numbers only, not on partitions. Pages are drawn from a list of
     page numbers by a top-k, and only rows of drawn pages are ranked, at most ``page_rows`` together.
     """
-    salt = F.lit(seed)
     numbered = df.withColumn("page", F.floor(F.col(ordinal) / page_rows).cast("bigint"))
     drawn = (
         numbered.select("page")
         .distinct()
-        .orderBy(F.xxhash64("page", salt), "page")
+        .orderBy(_drawn("page", seed), "page")
         .limit(pages)
     )
     rank = F.row_number().over(
-        Window.partitionBy("page").orderBy(F.xxhash64(ordinal, salt), ordinal)
+        Window.partitionBy("page").orderBy(_drawn(ordinal, seed), ordinal)
     )
     return (
         numbered.join(drawn, "page", "left_semi")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEDUP_PREFIX
-from ..operators.render import static_text
+from ..operators.render import MAX_OTHER_CHARS, MAX_TURNS, MAX_USER_CHARS, static_text
 from ..operators.results import MAX_SCORE, MAX_TOKENS
 from ..operators.shards import SHARD_MAX_BYTES, SHARD_MAX_REQUESTS
 from ..schemas import AXES
@@ -55,12 +55,21 @@ class RunConfig:
     max_tokens: int = MAX_TOKENS
     shard_max_requests: int = SHARD_MAX_REQUESTS
     shard_max_bytes: int = SHARD_MAX_BYTES
-
-    #: Settings that must not change within a run.
-    FIXED = ("template_sha", "schema_sha", "model", "dedup_prefix", "language")
+    max_turns: int | None = MAX_TURNS  # caps of a rendered conversation; None is no cap
+    max_user_chars: int | None = MAX_USER_CHARS
+    max_other_chars: int | None = MAX_OTHER_CHARS
+    #: Spellings of the language as files have them; they reach the reader as a filter.
+    stored_languages: tuple[str, ...] = ()
+
+    # Settings that must not change within a run.
+    FIXED = (
+        "template_sha", "schema_sha", "model", "dedup_prefix", "language",
+        "max_turns", "max_user_chars", "max_other_chars",
+    )
 
     def values(self) -> dict:
         out = asdict(self)
+        out["stored_languages"] = ",".join(out["stored_languages"])
         template = "".join(static_text(out.pop("prefix"), out.pop("suffix")))
         return {
             **out,
@@ -89,7 +98,7 @@ class RunConfig:
     def frame(self, spark: SparkSession) -> DataFrame:
         """One row of settings with the fingerprint."""
         values = {**self.values(), "fingerprint": self.fingerprint}
-        return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+        return spark.range(1).select(*[F.lit(v).cast("string" if v is None else type(v).__name__.replace("str", "string")).alias(k) for k, v in values.items()])
 
 
 def drift(stored: dict, config: RunConfig) -> dict:

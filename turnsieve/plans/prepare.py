@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import ascii_json_length, preview
-from ..operators.dedup import keep_first_by_id_then_text, keep_first_text
+from ..operators.dedup import has_key, keep_first, with_text_digest
 from ..operators.ordinals import FILE_ID_FORMAT, SOURCE_ID_FORMAT, with_ordinal, with_request_id
 from ..operators.render import full_prompt, rendered_body, static_text
-from ..operators.select import language_is
+from ..operators.select import language_is, stored_as
 from ..operators.shards import BLOCK_ROWS, file_shard_id, pack_shards, source_shard_id
 from ..session import written
 from .config import RunConfig
@@ -40,19 +40,25 @@ def survivors(records: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG) ->
     the conversation it stands for. The static prompt text is left out until the requests are written.
     """
     df = records
+    if config.stored_languages:
+        df = df.where(stored_as(*config.stored_languages))
     if config.language is not None:
         df = df.where(language_is(config.language))
-    df = df.withColumn("body", rendered_body(F.col("conversation"), F.col("n_turns")))
-    df = df.drop("conversation", "n_user_turns")
+    caps = (config.max_turns, config.max_user_chars, config.max_other_chars)
+    df = df.withColumn("body", rendered_body(F.col("conversation"), F.col("n_turns"), *caps))
+    # the first user text is unbounded, so its key and its preview stand for it from here on
+    df = with_text_digest(df, prefix=config.dedup_prefix).withColumn("_keyed", has_key(F.col("first_user"), config.dedup_prefix))
+    df = df.withColumn("first_user_preview", preview(F.col("first_user")))
+    df = df.drop("conversation", "n_user_turns", "first_user")
     if rules.by_id:
-        df = keep_first_by_id_then_text(df, prefix=config.dedup_prefix)
+        df = keep_first(keep_first(df, ["source", "id"]).where("_keyed"), ["source", "digest"])
     else:
-        df = keep_first_text(df, prefix=config.dedup_prefix)
+        df = keep_first(df, ["digest"])
     before, after = static_text(config.prefix, config.suffix)
     return df.select(
-        *[c for c in df.columns if c not in ("first_user", "digest")],
+        *[c for c in df.columns if c not in ("first_user_preview", "digest", "_keyed")],
         "digest",
-        preview(F.col("first_user")).alias("first_user_preview"),
+        "first_user_preview",
         (F.length("body") + len(before) + len(after)).cast("bigint").alias("prompt_chars"),
         prompt_json_chars(F.col("body"), config).cast("bigint").alias("prompt_json_chars"),
     )

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from .. import schemas
 
 
+_SLASHES = "^[A-Za-z][A-Za-z0-9+.-]*:/+"
+
+
 def read_parquet(
     spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
@@ -25,11 +28,18 @@ def with_positions(df: DataFrame, file_number: str = r"^[^0-9]*(\d+)") -> DataFr
 
     The file index is a number in the file's name (the first one, unless ``file_number`` says
     otherwise), so it depends neither on file times nor on the order of listing. Row indexes are
-    physical and survive splits, retries and re-runs. Files that would share an index are refused:
-    their rows could not be told apart.
+    physical and survive splits, retries and re-runs. Where two files have the same number (a folder that
+    was appended to, or is partitioned), files are numbered by their place in the sorted list of paths
+    instead; that list is joined as a small table. A stream sees its files one after the other and uses
+    the numbers in their names.
     """
-    if not df.isStreaming:
-        _check_numbers(df.inputFiles(), file_number)
+    if not df.isStreaming and _share_a_number(files := df.inputFiles(), file_number):
+        # the driver and the scan spell a local path with three slashes and with one
+        paths = sorted(re.sub(_SLASHES, "/", f) for f in files)
+        path = F.regexp_replace("_metadata.file_path", _SLASHES, "/")
+        numbers = df.sparkSession.createDataFrame(list(enumerate(paths)), "file_idx bigint, _path string")
+        placed = df.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("row_idx"))
+        return placed.join(numbers, "_path").select(*df.columns, "file_idx", "row_idx")
     number = F.regexp_extract(F.col("_metadata.file_name"), file_number, 1)
     return df.select(
         "*",
@@ -38,14 +48,10 @@ def with_positions(df: DataFrame, file_number: str = r"^[^0-9]*(\d+)") -> DataFr
     )
 
 
-def _check_numbers(files: list[str], file_number: str) -> None:
+def _share_a_number(files: list[str], file_number: str) -> bool:
     """Reads only the list of files that the driver has made for the scan."""
-    owner: dict[int, str] = {}
-    for path in files:
-        found = re.search(file_number, unquote(path.rsplit("/", 1)[-1]))
-        index = int(found.group(1)) if found else 0
-        if owner.setdefault(index, path) != path:
-            raise ValueError(f"{owner[index]} and {path} have the same file number {index}")
+    found = [re.search(file_number, unquote(path.rsplit("/", 1)[-1])) for path in files]
+    return len({int(f.group(1)) if f else 0 for f in found}) < len(files)
 
 
 def read_json_array(
