@@ -91,6 +91,14 @@ def chat_language() -> Column:
     return pick(F.col("row_idx"), "English", "english", "German", None)
 
 
+def stored_chats(spark: SparkSession, sf_dir: str, role: str = "role", content: str = "content") -> DataFrame:
+    """Conversations as sources store them: one row with an array of turns, in either spelling."""
+    turns = chat_turns(spark, sf_dir, blanks=True) if role == "role" else sender_turns(spark, sf_dir, blanks=True)
+    rows = turns.groupBy("id", "row_idx").agg(F.sort_array(F.collect_list(F.struct("turn", role, content))).alias("_turns"))
+    stored = F.transform("_turns", lambda t: F.struct(t[role].alias(role), t[content].alias(content)))
+    return rows.select("id", "row_idx", stored.alias("turns"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message tree: the first turn of a conversation is a root, every other turn has a parent."""
     number = F.col("row_idx")

@@ -323,6 +323,15 @@ oracle(
     chats("lmsys", "kept", model="'model-' || row_idx % 3", where=_ENGLISH_ROWS, extra=_ALSO),
     "chat_b", "kept",
 )
+for _name in ("preference_chat", "shared_chat", "gated_chat"):
+    _source = {"preference_chat": "prism", "shared_chat": "sharegpt", "gated_chat": "lmsys"}[_name]
+    ORACLES[f"{_source}_source"] = ORACLES[_name]
+oracle(
+    "qa_site_source",
+    f"""SELECT * EXCLUDE (id, question), 24::BIGINT AS key_chars, min(row_idx) OVER (PARTITION BY question) AS first_row
+        FROM ({chats("se_law", "kept_sent", title=_FIRST_100, extra=_ALSO + ", arg_min(content, turn) AS question")})""",
+    "chat_b", "kept_sent",
+)
 oracle("tree_roots", _TREE, "chat_b")
 oracle(
     "qa_site",
@@ -342,12 +351,21 @@ oracle(
     "docs",
 )
 _COLUMNS = "source, row_idx, n_turns, first_user, title, language, src_model"
+_LOG = """
+    SELECT 'wildchat' AS source, doc_id AS row_idx, 2::BIGINT AS n_turns, text AS first_user,
+           NULL::VARCHAR AS title, language, source AS src_model FROM docs"""
+_PAIRS = """
+    SELECT 'philosophy_se' AS source, doc_id AS row_idx, 2::BIGINT AS n_turns,
+           CASE WHEN doc_id % 3 = 0 THEN source ELSE text END AS first_user,
+           left(CASE WHEN doc_id % 5 = 0 THEN source ELSE text END, 100) AS title, 'English' AS language,
+           'human' AS src_model
+    FROM documents WHERE doc_id % 3 = 0 OR (doc_id % 5 > 0 AND text <> '')"""
 oracle(
     "all_sources",
     "\nUNION ALL\n".join(
         f"SELECT {_COLUMNS} FROM ({part})"
         for part in (
-            _FLAGGED, _ASKED, arena("arena_140k", "text || ' '"), _TREE,
+            _FLAGGED, _ASKED, arena("arena_140k", "text || ' '"), arena("arena_expert", "text"), _TREE, _LOG, _PAIRS,
             chats("prism", "kept", where="role = 'user'"),
             chats("sharegpt", "kept_sent", "NULL::VARCHAR", "'unknown'"),
             chats("lmsys", "kept", model="'model-' || row_idx % 3", where=_ENGLISH_ROWS),

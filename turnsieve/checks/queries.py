@@ -271,20 +271,67 @@ def arena_chat(spark, sf_dir):
     return df.select("id", *RECORD_COLUMNS)
 
 
-@query
-def arena_chat_printed(spark, sf_dir):
-    df = fr.documents(spark, sf_dir).select(
+def _arena_printed(spark, sf_dir) -> DataFrame:
+    return fr.documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_idx"),
         F.concat(F.lit("doc_"), F.col("doc_id")).alias("id"),
         fr.printed_conversation().alias("conversation_a"),
         fr.document_language().alias("language"),
     )
-    return adapters.arena(df, adapters.ARENA["arena_expert"]).select("id", *RECORD_COLUMNS)
 
 
 @query
-def chat_log(spark, sf_dir):
-    """The chat-log adapter over documents as stored arrays, timestamps as ISO text."""
+def arena_chat_printed(spark, sf_dir):
+    return registry.source_records("arena_expert", _arena_printed(spark, sf_dir)).select("id", *RECORD_COLUMNS)
+
+
+def _stored(spark, sf_dir, name: str) -> DataFrame:
+    """A source with arrays of turns, through the adapter that the registry has for its name."""
+    if name in ("prism", "lmsys"):
+        df = fr.stored_chats(spark, sf_dir).withColumnRenamed("id", "conversation_id")
+    else:
+        df = fr.stored_chats(spark, sf_dir, "from", "value").withColumnRenamed("turns", "conversations")
+    if name == "prism":
+        df = df.withColumnRenamed("turns", "conversation_history").withColumns(
+            {
+                "conversation_type": fr.pick(F.col("row_idx"), "guided", "open", None),
+                "generated_datetime": F.lit(None).cast("timestamp"),
+            }
+        )
+    if name == "lmsys":
+        df = df.withColumnRenamed("turns", "conversation").withColumns(
+            {"language": fr.chat_language(), "model": F.concat(F.lit("model-"), F.col("row_idx") % 3)}
+        )
+    return registry.source_records(name, df)
+
+
+@query
+def prism_source(spark, sf_dir):
+    df = _stored(spark, sf_dir, "prism")
+    return df.select("id", *RECORD_COLUMNS, "conversation_type", joined().alias("conversation"))
+
+
+@query
+def sharegpt_source(spark, sf_dir):
+    return _stored(spark, sf_dir, "sharegpt").select("id", *RECORD_COLUMNS, joined().alias("conversation"))
+
+
+@query
+def lmsys_source(spark, sf_dir):
+    return _stored(spark, sf_dir, "lmsys").select("id", *RECORD_COLUMNS, joined().alias("conversation"))
+
+
+@query
+def qa_site_source(spark, sf_dir):
+    """The key is a digest: told by its length and by the first row that has it."""
+    df = _stored(spark, sf_dir, "se_law")
+    first = df.groupBy("id").agg(F.min("row_idx").alias("first_row"))
+    return df.join(first, "id").select(
+        *RECORD_COLUMNS, F.length("id").alias("key_chars"), "first_row", joined().alias("conversation")
+    )
+
+
+def _chat_log(spark, sf_dir) -> DataFrame:
     df = fr.documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_idx"),
         F.concat(F.lit("hash_"), F.col("doc_id")).alias("conversation_hash"),
@@ -297,23 +344,29 @@ def chat_log(spark, sf_dir):
         fr.document_language().alias("language"),
         fr.pick(F.col("doc_id"), "France", None).alias("country"),
     )
-    return registry.source_records("wildchat", df).select(
+    return registry.source_records("wildchat", df)
+
+
+@query
+def chat_log(spark, sf_dir):
+    """The chat-log adapter over documents as stored arrays, timestamps as ISO text."""
+    return _chat_log(spark, sf_dir).select(
         "id", *RECORD_COLUMNS, "timestamp", "country", "src_turn", "n_user_turns"
     )
 
 
 @query
 def all_sources(spark, sf_dir):
-    """Several sources in one table of records."""
+    """Every kind of source in one table of records, each by the registry's adapter; none is shuffled for it."""
     parts = [
+        _chat_log(spark, sf_dir),
+        registry.source_records("philosophy_se", fr.question_pairs(spark, sf_dir)),
+        registry.source_records("arena_expert", _arena_printed(spark, sf_dir)),
         registry.source_records("lesswrong", fr.nested_posts(spark, sf_dir)),
         registry.source_records("eaforum", fr.forum_posts(spark, sf_dir)),
         registry.source_records("arena_140k", _arena_blocks(spark, sf_dir)),
         registry.source_records("oasst2", fr.messages(spark, sf_dir)),
-        _preference_chat(spark, sf_dir),
-        _shared_chat(spark, sf_dir),
-        _gated_chat(spark, sf_dir),
-        _qa_site(spark, sf_dir),
+        *[_stored(spark, sf_dir, name) for name in ("prism", "sharegpt", "lmsys", "se_law")],
     ]
     return registry.all_sources(parts).select(*RECORD_COLUMNS)
 
