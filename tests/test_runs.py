@@ -7,7 +7,8 @@ from turnsieve import session
 from turnsieve.functions.turns import turn
 from turnsieve.operators import rebuild, render, results, scoring, select
 from turnsieve.operators.conversations import records
-from turnsieve.plans import config, prepare, publish
+from turnsieve import schemas
+from turnsieve.plans import config, prepare, publish, retry
 from turnsieve.plans import rebuild as plan_rebuild
 from turnsieve.sources import readers, sinks
 
@@ -294,3 +295,35 @@ def test_rendered_conversation_survives_the_round_trip(spark):
     df = prepare.with_prompt(prepare.prepare(chats(spark, ["a\n\nb", "plain"]), CONFIG), CONFIG)
     back = render.explode_rendered_turns(df.select("custom_id", "prompt")).orderBy("custom_id").collect()
     assert [r.content for r in back] == ["a\n\nb", "plain"]
+
+
+def test_rebuild_by_the_name_of_a_source(spark, tmp_path):
+    rows = [("a", [("user", "first")]), ("b", [("user", "second")]), ("a", [("user", "later copy")])]
+    stored = [(k, [{"from": "human", "value": t} for _, t in turns]) for k, turns in rows]
+    spark.createDataFrame(stored, schemas.SHARED_CHAT).coalesce(1).write.parquet(str(tmp_path / "chats"))
+    kinds = "key string, conceptual int, novelty int, well_formed int, status string"
+    scores = [("a", 2, 2, 2, "ok"), ("a", 3, 3, 3, "ok"), ("b", 1, 3, 3, "ok"), ("gone", 3, 3, 3, "ok")]
+    spark.createDataFrame(scores, kinds).coalesce(1).write.parquet(str(tmp_path / "scores"))
+    prompts, coverage = plan_rebuild.rebuild_source(spark, "sharegpt", str(tmp_path / "scores"), str(tmp_path / "chats"))
+    (only,) = prompts.collect()
+    assert (only.key, only.source, only.conceptual, only.conversation[0].content) == ("a", "sharegpt", 3, "first")
+    assert tuple(coverage.first()) == (2, 1, 1)
+
+
+def closed_scorer():
+    raise RuntimeError("no client")
+
+
+def test_retry_of_failed_rows(spark):
+    requests = spark.createDataFrame(
+        [("0", "a", 300, "p a"), ("0", "b", 300, "p b"), ("0", "c", None, None)], "shard_id string, custom_id string, max_tokens long, prompt string"
+    )
+    raw = scoring.score_prompts(requests, closed_scorer)
+    assert [r.result_type for r in raw.collect()] == ["errored"] * 3
+    manifest = requests.select("shard_id", "custom_id")
+    first = session.written(results.collected(raw, manifest), "first")
+    scorer = scoring.LexicalScorer({"conceptual": ("a",), "novelty": ("b",), "well_formed": ("p",)})
+    again = session.written(retry.retry_failed(first, requests, scorer), "again")
+    rows = {r.custom_id: (r.status, r.conceptual, r.novelty, r.well_formed) for r in again.collect()}
+    assert rows == {"a": ("ok", 1, 0, 1), "b": ("ok", 0, 1, 1), "c": ("ok", 0, 0, 0)}
+    assert retry.retry_failed(again, requests, closed_scorer).exceptAll(again).isEmpty()

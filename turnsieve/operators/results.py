@@ -112,6 +112,12 @@ def attach_manifest(results: DataFrame, manifest: DataFrame) -> DataFrame:
     return results.join(manifest, [*KEYS], "left")
 
 
+def collected(raw: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Raw answers as results: parsed, checked for their range, with their metadata. Batches and streams
+    both go through this."""
+    return attach_manifest(check_range(parse_responses(raw)), manifest)
+
+
 def retry_set(results: DataFrame, requests: DataFrame, max_tokens: int = RETRY_MAX_TOKENS) -> DataFrame:
     """Requests of the rows that are not ok, with a raised token cap. Rows without a request are not
     retried; they stay in the results as they are."""

@@ -20,6 +20,14 @@ Scorer = Callable[[list[str]], list[dict]]
 _FIELDS = schemas.RESPONSE.fieldNames()
 
 
+def _opened(make_scorer: Callable[[], Scorer]) -> Scorer:
+    """A client that cannot be opened fails every prompt of its task, not the job."""
+    try:
+        return make_scorer()
+    except Exception as error:  # noqa: BLE001
+        return lambda prompts, error=error: [_failure(error) for _ in prompts]
+
+
 def _failure(error: Exception) -> dict:
     return {"result_type": "errored", "text": f"API error: {error}", "input_tokens": 0, "output_tokens": 0}
 
@@ -55,7 +63,7 @@ def score_prompts(
     sets how many tasks score at once and how much a lost executor has to score again. A scorer may
     be costly and is rarely repeatable: write the result (``session.written``) before using it twice.
     """
-    slim = requests.select(*keys, F.col(prompt).alias("_prompt"))
+    slim = requests.select(*keys, F.coalesce(F.col(prompt), F.lit("")).alias("_prompt"))
     if partitions:
         slim = slim.repartition(partitions, *keys)
     schema = T.StructType([slim.schema[k] for k in keys] + schemas.RESPONSE.fields)
@@ -63,7 +71,7 @@ def score_prompts(
     before, after = static
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = make_scorer()
+        scorer = _opened(make_scorer)
         for pdf in batches:
             for start in range(0, len(pdf), batch_size):
                 part = pdf.iloc[start : start + batch_size]

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import schemas
 from ..operators.reports import status_bucket
-from ..operators.results import attach_manifest, check_range, parse_responses
+from ..operators.results import collected
 
 PROGRESS = "collected"
 
@@ -43,8 +43,7 @@ def stream_collect(
     reader = spark.readStream.schema(ANSWER)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    parsed = check_range(parse_responses(reader.json(answers)))
-    results = attach_manifest(parsed, manifest)
+    results = collected(reader.json(answers), manifest)
     bucket = status_bucket(F.col("status"))
     observed = results.observe(
         PROGRESS,
