@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
+from .common import free_name
 
 MIN_WORDS = 50
 
@@ -32,10 +33,10 @@ def _ordered(df: DataFrame, *by: str, name: str, label: str) -> DataFrame:
     return written(rows.withColumn(name, F.monotonically_increasing_id()), label)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _lines(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
     """``(doc, id, pos, line, words)`` of every line; null texts have none."""
     lines = docs.select(
-        F.col("_doc").alias("doc"), F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "text")
+        F.col(key).alias("doc"), F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "text")
     )
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
     return written(lines.select("doc", "id", "pos", F.unhex(F.md5("text")).alias("line"), words.alias("words")), "lines")
@@ -130,21 +131,23 @@ def _without(text: Column, gone: Column) -> Column:
 def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the later copies of repeated runs of at least ``min_words`` words.
 
-    All columns stay; three are added: ``_lines`` (lines before), ``_gone`` (lines deleted) and
-    ``_words_gone``. Documents count in the order of their ids, rows with equal ids in the order in which
-    they are read; a null id comes first. A document that loses every line has an empty text. Null texts
-    stay null, empty texts are one empty line. ``docs`` is read twice and must be a table or
-    another source that gives its rows in the same order again.
+    All columns stay; three are added, in place of columns of the same names: ``_lines`` (lines before),
+    ``_gone`` (lines deleted) and ``_words_gone``. Documents count in the order of their ids, rows with equal
+    ids in the order in which they are read; a null id comes first. A document that loses every line has an
+    empty text. Null texts stay null and have no lines, empty texts are one empty line. ``docs`` is read twice
+    and must be a table or another source that gives its rows in the same order again.
     """
     spark = docs.sparkSession
-    base = docs.withColumn("_doc", F.monotonically_increasing_id())
-    lines = _lines(base, id_col, text_col)
+    docs = docs.drop("_lines", "_gone", "_words_gone")
+    key = free_name(docs, "_doc")
+    base = docs.withColumn(key, F.monotonically_increasing_id())
+    lines = _lines(base, key, id_col, text_col)
     ranks = _suffixes(lines)
     runs = written(_runs(ranks, min_words), "runs")
     longest = runs.agg(F.max("n")).first()[0] or 0
     half, later = 1, spark.createDataFrame([], runs.schema)
     while half <= longest:
-        later = later.unionByName(_later(ranks, runs, half))
+        later = later.unionByName(written(_later(ranks, runs, half), "later"))
         if 2 * half <= longest:
             ranks = _doubled(ranks, half)
         half *= 2
@@ -152,15 +155,15 @@ def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     counted = (
         lines.select("doc", "pos", "words")
         .join(gone, ["doc", "pos"])
-        .groupBy(F.col("doc").alias("_doc"))
-        .agg(F.array_sort(F.collect_list("pos")).alias("_at"), F.sum("words").alias("_words_gone"))
+        .groupBy(F.col("doc").alias(key))
+        .agg(F.struct(F.array_sort(F.collect_list("pos")).alias("at"), F.sum("words").alias("words")).alias("_gone"))
     )
-    text = F.when(F.col("_at").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("_at")))
-    size = F.size(F.split(text_col, "\n", -1))
-    columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return base.join(counted, "_doc", "left").select(
+    at = F.col("_gone.at")
+    text = F.when(at.isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), at))
+    columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return base.join(counted, key, "left").select(
         *columns,
-        F.when(F.col(text_col).isNull(), 0).otherwise(size).cast("bigint").alias("_lines"),
-        F.when(F.col("_at").isNull(), 0).otherwise(F.size("_at")).cast("bigint").alias("_gone"),
-        F.coalesce("_words_gone", F.lit(0).cast("bigint")).alias("_words_gone"),
+        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n", -1))).cast("bigint").alias("_lines"),
+        F.when(at.isNull(), 0).otherwise(F.size(at)).cast("bigint").alias("_gone"),
+        F.coalesce("_gone.words", F.lit(0).cast("bigint")).alias("_words_gone"),
     )
