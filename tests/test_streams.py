@@ -120,3 +120,39 @@ def test_collect_equals_batch(spark, tmp_path):
     )
     back = spark.read.schema(batch.schema).parquet(out).select(*batch.columns)
     assert sorted(map(str, back.collect())) == sorted(map(str, batch.collect()))
+
+
+def test_preparation_is_continued_and_replayed(spark, tmp_path):
+    from turnsieve.functions.turns import turn
+    from turnsieve.operators.conversations import records
+    from turnsieve.plans import config, prepare as plan
+
+    run = config.RunConfig("d", "m", "RUBRIC\n", "\nEND", shard_max_requests=2)
+    kinds = "file_idx long, row_idx long, t string"
+
+    def to_records(df):
+        return records(
+            df, source=F.lit("s"), id=F.concat(F.lit("k"), F.col("row_idx")), language=F.lit("English"),
+            conversation=F.array(turn(F.lit("user"), F.col("t"))),
+        )
+
+    files = [["one", "two", "one ", "three"], ["TWO", "four", "five"], ["six", "six", "one", "seven"]]
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    rows = []
+    for number, texts in enumerate(files):
+        part = [(number, i, t) for i, t in enumerate(texts)]
+        rows += part
+        spark.createDataFrame(part, kinds).coalesce(1).write.mode("append").parquet(folder)
+        for _ in range(2):  # the second time there is nothing new
+            prepare.stream_prepare_shards(spark, folder, spark.createDataFrame([], kinds).schema, to_records, run, out, state).awaitTermination()
+    columns = ["file_idx", "row_idx", "ordinal", "custom_id", "shard_id", "n_bytes", "body"]
+
+    def got():
+        return sorted(map(tuple, spark.read.parquet(f"{out}/requests").select(*columns).collect()))
+
+    want = sorted(map(tuple, plan.prepare(to_records(spark.createDataFrame(rows, kinds)), run).select(*columns).collect()))
+    assert got() == want and len(want) == 7
+    for name in ("2", ".2.crc"):  # the last batch was not committed: it is run again
+        (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    prepare.stream_prepare_shards(spark, folder, spark.createDataFrame([], kinds).schema, to_records, run, out, state).awaitTermination()
+    assert got() == want

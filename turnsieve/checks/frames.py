@@ -145,8 +145,12 @@ def document_ids() -> Column:
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as one-turn conversations in files of some hundred rows."""
-    df = documents(spark, sf_dir).select(
-        "*",
+    return as_document_records(documents(spark, sf_dir))
+
+
+def as_document_records(df: DataFrame) -> DataFrame:
+    df = df.select(
+        "doc_id", "text", "lang", F.col("source"),
         F.floor(F.col("doc_id") / FILE_ROWS).cast("bigint").alias("file_idx"),
         F.col("doc_id").alias("row_idx"),
     )

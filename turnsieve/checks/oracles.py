@@ -906,3 +906,5 @@ oracle(
     _STATUS_COUNTS.replace("FROM results", f"FROM (SELECT * REPLACE ({_RANGED} AS status) FROM results)"),
     *_READ,
 )
+
+ORACLES["stream_prepare_shards"] = ORACLES["prepare"]

@@ -925,6 +925,23 @@ def stream_prepare_exact(spark, sf_dir):
     return _streamed(spark, sf_dir, st_prepare.stream_prepare_exact).select("doc_id", "digest")
 
 
+@query
+def stream_prepare_shards(spark, sf_dir):
+    """Whole files in four arrivals, each prepared to its packed requests: the rows of one preparation."""
+    df = fr.documents(spark, sf_dir)
+    file = F.floor(F.col("doc_id") / fr.FILE_ROWS)
+    last = df.agg(F.max(file)).first()[0]
+    folder, out, checkpoint = (new_folder(spark, n) for n in ("arriving", "prepared", "state"))
+    for part in range(4):
+        df.where(F.floor(4 * file / (last + 1)) == part).write.mode("append").parquet(folder)
+        st_prepare.stream_prepare_shards(
+            spark, folder, df.schema, fr.as_document_records, fr.RUN, out, checkpoint
+        ).awaitTermination()
+    return spark.read.parquet(f"{out}/requests").select(
+        "file_idx", "row_idx", "ordinal", "custom_id", "shard_id", "n_bytes", "prompt_chars"
+    )
+
+
 def _written_answers(spark: SparkSession, sf_dir: str) -> str:
     folder = new_folder(spark, "answers")
     fr.answers(spark, sf_dir).write.mode("overwrite").json(folder)

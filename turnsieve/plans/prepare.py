@@ -33,11 +33,15 @@ CHAT_LOG = Rules(per_file=True, by_id=False)
 ADAPTER = Rules(per_file=False, by_id=True)
 
 
-def survivors(records: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG) -> DataFrame:
+def survivors(
+    records: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG, seen: DataFrame | None = None
+) -> DataFrame:
     """Language filter, keep-first, and one bounded body per conversation.
 
     The body is rendered before the rows are shuffled: it is cut to the caps, so it is smaller than
     the conversation it stands for. The static prompt text is left out until the requests are written.
+    ``seen`` holds digests that earlier runs have kept; their rows are left out after keep-first, so a
+    hot key is one row in that join.
     """
     df = records
     if config.stored_languages:
@@ -54,6 +58,8 @@ def survivors(records: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG) ->
         df = keep_first(keep_first(df, ["source", "id"]).where("_keyed"), ["source", "digest"])
     else:
         df = keep_first(df, ["digest"])
+    if seen is not None:
+        df = df.join(seen.select("digest"), "digest", "left_anti")
     before, after = static_text(config.prefix, config.suffix)
     return df.select(
         *[c for c in df.columns if c not in ("first_user_preview", "digest", "_keyed")],
@@ -122,7 +128,13 @@ def prepare(
     prompt text, by far the longer part, is added where a prompt is used, behind the last shuffle:
     by :func:`request_lines`, by the scorer's task, or by :func:`with_prompt`.
     """
-    first = written(survivors(records, config, rules), "survivors")
+    return requests_of(written(survivors(records, config, rules), "survivors"), config, rules, block_rows)
+
+
+def requests_of(
+    first: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Requests of survivors that have been written."""
     slim = written(numbered(first, config, rules), "numbered")
     plan = packed(slim, config, rules, block_rows)
     return (

@@ -52,7 +52,8 @@ def stream_collect(
     )
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
-        observed.writeStream.format("parquet")
+        observed.repartition("shard_id")  # one file for each shard of a batch; shards have a size cap
+        .writeStream.format("parquet")
         .partitionBy("shard_id")
         .option("path", out)
         .option("checkpointLocation", checkpoint)

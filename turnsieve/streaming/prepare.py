@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import keep_first_text, keep_first_unseen, with_text_digest
+from ..plans.config import RunConfig
+from ..plans.prepare import requests_of, survivors
+from ..session import written
 
 BATCH = "bid"
 
@@ -86,3 +89,40 @@ def stream_prepare_exact(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_prepare_shards(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    to_records: Callable[[DataFrame], DataFrame],
+    config: RunConfig,
+    out: str,
+    checkpoint: str,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Preparation to its end, continued with every file that arrives: keep-first against all earlier files,
+    rendering, numbering, packing, and the packed requests under ``out/requests``.
+
+    Ids, ordinals and shards belong to one file, so a batch of whole files is numbered and packed by itself.
+    The rows are those of :func:`turnsieve.plans.prepare.prepare` over all files when these arrive in their
+    order. What is carried from batch to batch is the digests of kept rows, 32 characters each. A replayed
+    batch reads and writes the same folders.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        seen = None
+        if batch_id > 0:
+            kept = batch.sparkSession.read.schema(f"digest string, {BATCH} int").parquet(f"{out}/seen")
+            seen = kept.where(F.col(BATCH) < batch_id)
+        first = written(survivors(batch, config, seen=seen), "survivors")
+        first.select("digest").write.mode("overwrite").parquet(f"{out}/seen/{BATCH}={batch_id}")
+        requests_of(first, config).write.mode("overwrite").parquet(f"{out}/requests/{BATCH}={batch_id}")
+
+    records = to_records(_stream(spark, folder, schema, files_per_batch))
+    return (
+        records.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
