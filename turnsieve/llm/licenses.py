@@ -2,8 +2,9 @@
 
 Texts are compared as their words, joined by single spaces. A base label stands where the words of its phrase
 stand one after the other. A notice with ``k`` allowed edits is cut into ``k + 1`` seeds: with at most ``k``
-edits one of them is there unchanged. An automaton finds all seeds of all notices in one pass; around each
-one the regex library matches the notice with at most ``k`` errors and reports span and errors.
+edits one of them is there unchanged. An automaton finds all seeds of all notices in one pass. An edit changes at most ``GRAM`` of a
+notice's letter triples, so a place around a seed that lacks more of them is no match; at the others the
+regex library matches the notice with at most ``k`` errors and reports span and errors.
 """
 
 from __future__ import annotations
@@ -46,6 +47,11 @@ NOTICES = {
 
 #: One edit is allowed for so many letters.
 LETTERS_PER_EDIT = 9
+GRAM = 3
+
+
+def _grams(text: str) -> list[str]:
+    return [text[i : i + GRAM] for i in range(len(text) - GRAM + 1)]
 
 
 class Scanner:
@@ -60,7 +66,7 @@ class Scanner:
         for n, (notice, label) in enumerate(notices.items()):
             k = len(notice) // letters_per_edit
             found = regex.compile(f"(?b)(?:{regex.escape(notice, special_only=False)}){{e<={k}}}")
-            self.patterns.append((notice, label, k, found))
+            self.patterns.append((notice, label, k, found, _grams(notice)))
             for i in range(k + 1):
                 a, b = len(notice) * i // (k + 1), len(notice) * (i + 1) // (k + 1)
                 where.setdefault(notice[a:b], []).append((n, a))
@@ -84,12 +90,16 @@ class Scanner:
         found = []
         for end, (size, at) in self.seeds.iter(text):
             for n, offset in at:
-                notice, label, k, pattern = self.patterns[n]
+                notice, label, k, pattern, grams = self.patterns[n]
                 done = ends.get(n, 0)
                 if end < done:  # inside a match of this notice
                     continue
                 start = max(0, end + 1 - size - offset - k)
-                m = pattern.search(text, max(start, done), min(len(text), start + len(notice) + 2 * k))
+                start, stop = max(start, done), min(len(text), start + len(notice) + 2 * k)
+                there = set(_grams(text[start:stop]))
+                if sum(g not in there for g in grams) > GRAM * k:
+                    continue
+                m = pattern.search(text, start, stop)
                 if m and sum(m.fuzzy_counts) <= k:
                     found.append((sum(m.fuzzy_counts) / len(notice), -len(notice), m.start(), m.end(), label, sum(m.fuzzy_counts)))
                     ends[n] = m.end()
