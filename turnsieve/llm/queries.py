@@ -193,3 +193,20 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"),
         (F.col("id") == F.col("component")).alias("kept"),
     )
+
+
+ORACLES["op5_embeddings"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+      AND len([x FOR x IN embedding IF x <> 0]) > 0),
+  links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e)
+              AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+  reached AS (SELECT vec_id, vec_id AS root FROM embeddings
+              UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.vec_id),
+  roots AS (SELECT vec_id, min(root) AS component_id FROM reached GROUP BY vec_id),
+  counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
