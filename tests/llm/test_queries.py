@@ -45,8 +45,8 @@ def rows(spark, n):
 
 
 def test_names():
-    assert [k for k in QUERIES if k != "pipeline"] and {k.split("_")[0] for k in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
-    assert set(ORACLES) == {named(5), named(6), named(7), named(10)}
+    assert [k for k in QUERIES if k != "pipeline"] and {k.split("_")[0] for k in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
+    assert set(ORACLES) == {named(n) for n in (5, 6, 7, 10, 11, 12, 13)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, licenses, linededup, packing, quality, sharding, simhash, toxicity, warc
+from . import (
+    centroids,
+    decontaminate,
+    embeddings,
+    licenses,
+    linededup,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    spelling,
+    toxicity,
+    urlrules,
+    warc,
+)
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +224,126 @@ WITH RECURSIVE v AS (
 SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
+
+
+@_registered
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty clusters of all vectors after five rounds."""
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The assignment and the update of each round, one after the other."""
+    parts = []
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS (SELECT v, x, vec_id, min(struct_pack(d, c)) AS b FROM (
+                  SELECT v, x, vec_id, c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(x, m)])::BIGINT AS d
+                  FROM kept, c{i}) GROUP BY ALL)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""s{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m FROM (
+                      SELECT b.c AS c, j, sum(x[j]) AS s, count(*) AS n FROM a{i}, range(1, 65) r(j) GROUP BY ALL) GROUP BY c),
+                  c{i + 1} AS (SELECT c, coalesce(s{i}.m, c{i}.m) AS m FROM c{i} LEFT JOIN s{i} USING (c))"""
+            )
+    return ",\n  ".join(parts)
+
+
+# the floor of a mean is taken by whole numbers: // rounds towards zero
+ORACLES["op11_centroids"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS v, vec_id, [CAST(floor(256 * CAST(y AS DOUBLE)) AS BIGINT) FOR y IN embedding] AS x
+    FROM embeddings WHERE len(embedding) = 64 AND len([y FOR y IN embedding IF y IS NOT NULL AND isfinite(y)]) = 64),
+  c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS c, x AS m
+         FROM kept WHERE vec_id IS NOT NULL QUALIFY c < 40),
+  {_rounds_sql(centroids.ROUNDS)}
+SELECT vec_id, CAST(b.c AS INTEGER) AS cluster, b.d AS distance,
+  CAST(sum(b.d) OVER (PARTITION BY b.c) AS BIGINT) AS cluster_inertia, CAST(sum(b.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{centroids.ROUNDS} AS a JOIN c{centroids.ROUNDS} AS f ON f.c = a.b.c
+"""
+
+
+@_registered
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their more frequent neighbours."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling"] = f"""
+WITH RECURSIVE bits(i, k, c) AS (
+    SELECT i, 0, CAST(i AS BIGINT) FROM range(256) AS r(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+  crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+  runs AS (SELECT doc_id, run, count(*) AS n
+           FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run
+                 FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+  marked AS (SELECT run, n, xor(list_reduce([4294967295] || [CAST('0x' || x AS BIGINT) FOR x IN
+               regexp_extract_all(hex(encode(doc_id || ':' || run)), '..')],
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, crc),
+  slipped AS (SELECT CASE WHEN h % 199 = 0
+                THEN substring(run, 1, CAST(h % length(run) AS BIGINT)) || substring(run, CAST(h % length(run) AS BIGINT) + 2)
+                ELSE run END AS word, n FROM marked),
+  words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+  cuts AS (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS part
+           FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+  pairs AS (SELECT a.word, b.word AS near, b.n AS m FROM cuts a JOIN cuts b ON a.i = b.i AND a.part = b.part AND a.word <> b.word
+            UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.part = w.word
+            UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.part = w.word),
+  best AS (SELECT word, count(*) AS n_near, min(struct_pack(less := -m, near)) AS b FROM pairs GROUP BY word),
+  forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 5 * n THEN b.near END AS form,
+              CASE WHEN -b.less >= 5 * n THEN -b.less END AS form_n FROM words LEFT JOIN best USING (word)),
+  steps(word, reached) AS (SELECT word, word FROM forms
+                           UNION ALL SELECT steps.word, form FROM steps JOIN forms ON forms.word = reached WHERE form IS NOT NULL)
+SELECT f.word, f.form, s.reached AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN steps s USING (word) JOIN forms l ON l.word = s.reached AND l.form IS NULL
+"""
+
+
+@_registered
+def op13_urlrules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all URLs: given rules, then rules mined from what these label."""
+    found = urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "pattern", "confidence")
+
+
+def _url_tokens(text: str, mark: str) -> str:
+    spaced = f"string_split_regex(regexp_replace(translate({text}, '{UPPER}', '{LOWER}'), '[0-9]+', '0', 'g'), '{_SPLIT}')"
+    return f"[{mark!r} || x FOR x IN {spaced} IF x <> '']"
+
+
+def _given_sql(value: int | None) -> str:
+    """A CASE over the given rules, the longest first: their names, or with ``value`` that part of them."""
+    ordered = sorted(urlrules.RULES, key=lambda r: -len(r[1] + r[2]))
+    return "CASE " + " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v if value == 0 else h + p}'"
+        for v, h, p in ordered
+    ) + " END"
+
+
+# every combination of a labelled URL's frequent tokens is counted, without the miner's order or pruning
+ORACLES["op13_urlrules"] = f"""
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  q AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '(?s)^[^?#]*(.*)$', 1) AS further FROM p),
+  u AS (SELECT row_number() OVER () AS r, page_id, host, path, {_given_sql(None)} AS rule, {_given_sql(0)} AS label,
+          list_sort(list_distinct({_url_tokens("host", "h:")} || {_url_tokens("path", "p:")} || {_url_tokens("further", "q:")})) AS tokens
+        FROM q),
+  l AS (SELECT r, label, tokens FROM u WHERE label IS NOT NULL),
+  least AS (SELECT ceil(CAST({urlrules.MIN_SUPPORT} AS DOUBLE) * count(*)) AS least FROM l),
+  seen AS (SELECT token, list(r ORDER BY r) AS rs FROM l, unnest(tokens) AS t(token) GROUP BY token),
+  items AS (SELECT min(token) AS token FROM seen, least WHERE len(rs) >= least GROUP BY rs),
+  cut AS (SELECT r, label, list(token ORDER BY token) AS ts FROM l, unnest(tokens) AS t(token) JOIN items USING (token) GROUP BY ALL),
+  kinds AS (SELECT label, ts, count(*) AS n FROM cut GROUP BY ALL),
+  sets AS (SELECT label, [ts[i] FOR i IN range(1, len(ts) + 1) IF (m >> (i - 1)) & 1 = 1] AS s, sum(n) AS n
+           FROM kinds, unnest(range(1, CAST(1 << len(ts) AS BIGINT))) AS c(m) GROUP BY ALL),
+  rules AS (SELECT s, label, n, n / sum(n) OVER (PARTITION BY s) AS confidence FROM sets),
+  kept AS (SELECT s, label, n, confidence FROM rules, least WHERE n >= least AND confidence >= {urlrules.MIN_CONFIDENCE}),
+  hits AS (SELECT r, s, kept.label, confidence, row_number() OVER (PARTITION BY r
+             ORDER BY confidence DESC, n DESC, len(s), kept.label DESC, s) AS nth
+           FROM u JOIN kept ON list_has_all(u.tokens, kept.s) WHERE u.label IS NULL),
+  first AS (SELECT r, label AS found, array_to_string(s, ' ') AS pattern, confidence FROM hits WHERE nth = 1)
+SELECT page_id, host, path, rule, coalesce(label, found, 'allow') AS verdict, pattern, confidence FROM u LEFT JOIN first USING (r)
+"""
