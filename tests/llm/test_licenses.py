@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from turnsieve.llm import licenses
@@ -49,3 +52,45 @@ def test_awkward_rows(spark):
     empty = next(r for r in rows if r.doc_id == 0)
     assert (empty.n_words, empty.n_base, empty.first_word, empty.labels, empty.score) == (0, 0, None, "", 0)
     assert licenses.summary(licenses.scan(nothing(spark))).collect() == []
+
+
+def test_many_matches_in_one_text():
+    """Time grows with the text: 200,000 exact and 20,000 fuzzy places."""
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES, licenses.LETTERS_PER_EDIT)
+    begin = time.perf_counter()
+    places = scanner.exact(b" " + b"cc by " * 200_000)
+    assert [w for w, _, _ in places] == list(range(0, 400_000, 2))
+    text = " " + "all rights resarved x " * 20_000
+    near = scanner.fuzzy(text)
+    assert licenses._word_numbers(text, near) == [(4 * i, 4 * i + 2) for i in range(20_000)]
+    assert time.perf_counter() - begin < 20
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_against_edit_distances():
+    """Every place within the allowed edits is found, and what is found is within them."""
+    notice = "licensed under creative commons attribution"
+    scanner = licenses.Scanner({}, {notice: "cc"}, licenses.LETTERS_PER_EDIT)
+    k, rng = len(notice) // licenses.LETTERS_PER_EDIT, random.Random(4)
+    for n in range(120):
+        broken = list(notice)
+        for _ in range(n % (k + 3)):
+            i = rng.randrange(len(broken))
+            broken[i : i + 1] = rng.choice(([], ["q"], [broken[i], "q"]))
+        broken, before = "".join(broken), prose(6, n)
+        text = f" {before} {broken} {prose(6, n + 500)} "
+        found = scanner.fuzzy(text)
+        spans = [text[a:b] for a, b, *_ in found]
+        assert all(edits(notice, s) == e <= k for s, (_, _, _, e, _) in zip(spans, found, strict=True))
+        # the smallest distance of any part of the text that begins or ends about there
+        low = len(before) + 2
+        best = min(edits(notice, text[a:b]) for a in range(low - 2, low + 3) for b in range(low + len(broken) - 3, low + len(broken) + 3))
+        assert bool(found) == (best <= k)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from bisect import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -75,14 +76,19 @@ class Scanner:
         self.seeds.make_automaton()
 
     def exact(self, words: bytes) -> list[tuple[int, str, int]]:
-        """``(first word, label, number of words)`` of all places of the base phrases."""
-        out = []
+        """``(first word, label, number of words)`` of all places of the base phrases, in linear time."""
+        places: list[int] = []
+        kinds: list[tuple[str, int]] = []
         for phrase, n, label in self.base:
             at = words.find(phrase)
             while at >= 0:
-                out.append((words.count(b" ", 0, at + 1) - 1, label, n))
+                places.append(at)
+                kinds.append((label, n))
                 at = words.find(phrase, at + 1)
-        return out
+        if not places:
+            return []
+        first = np.searchsorted(np.flatnonzero(np.frombuffer(words, dtype=np.uint8) == 0x20), places)
+        return [(w, label, n) for w, (label, n) in zip(first.tolist(), kinds, strict=True)]
 
     def fuzzy(self, text: str) -> list[tuple[int, int, str, int, int]]:
         """``(start, end, label, errors, letters)`` of every notice that a seed leads to, the best of overlapping ones."""
@@ -103,16 +109,41 @@ class Scanner:
                 if m and sum(m.fuzzy_counts) <= k:
                     found.append((sum(m.fuzzy_counts) / len(notice), -len(notice), m.start(), m.end(), label, sum(m.fuzzy_counts)))
                     ends[n] = m.end()
-        taken: list[tuple[int, int]] = []  # spans without overlap, in their order
         out = []
-        for _, letters, start, end, label, errors in sorted(found):
-            i = bisect(taken, (start, end))
-            if (i == 0 or taken[i - 1][1] <= start) and (i == len(taken) or end <= taken[i][0]):
-                taken.insert(i, (start, end))
-                out.append((start, end, label, errors, -letters))
+        for together in _overlapping(found):
+            taken: list[tuple[int, int]] = []  # spans without overlap, in their order
+            for _, letters, start, end, label, errors in sorted(together):
+                i = bisect(taken, (start, end))
+                if (i == 0 or taken[i - 1][1] <= start) and (i == len(taken) or end <= taken[i][0]):
+                    taken.insert(i, (start, end))
+                    out.append((start, end, label, errors, -letters))
         return sorted(out)
 
 
+def _overlapping(found: list[tuple]) -> Iterator[list[tuple]]:
+    """Matches in groups that overlap from one to the next; fields 2 and 3 are start and end."""
+    group: list[tuple] = []
+    reach = -1
+    for match in sorted(found, key=lambda m: m[2:4]):
+        if group and match[2] >= reach:
+            yield group
+            group = []
+        group.append(match)
+        reach = max(reach, match[3]) if len(group) > 1 else match[3]
+    if group:
+        yield group
+
+
+def _word_numbers(text: str, spans: list[tuple]) -> list[tuple[int, int]]:
+    """First and last word of each span of a text whose words have one space before and after each."""
+    if not spans:
+        return []
+    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), dtype="<u4") == 0x20)
+    first = np.searchsorted(spaces, [s[0] for s in spans], side="right") - 1
+    last = np.searchsorted(spaces, [s[1] for s in spans]) - 1
+    return list(zip(np.maximum(first, 0).tolist(), np.maximum(last, 0).tolist(), strict=True))
+
+
 def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -125,7 +156,9 @@ def scan(
 
     ``first`` and ``last`` are the first and last word, counted from 0; ``errors`` the edits against the notice
     and ``score`` one less their share of its letters. Null and empty texts have no words and no spans;
-    null and repeated ids stay as they are.
+    null and repeated ids and rows stay as they are, an empty table gives no rows. A text of any length is scanned
+    whole, in time that grows with it and its matches. Of overlapping matches of notices the one with the smaller share
+    of errors counts, then the longer notice, then the one that starts or ends first, then the smaller label.
     """
     base, notices = BASE if base is None else base, NOTICES if notices is None else notices
     span = pa.struct(
@@ -144,10 +177,10 @@ def scan(
                     for w, label, n in scanner.exact(joined)
                 ]
                 low = joined.decode("utf-8", "replace")
-                for a, b, label, errors, letters in scanner.fuzzy(low):
-                    first, last = low.count(" ", 0, a + 1) - 1, low.count(" ", 0, b) - 1
+                near = scanner.fuzzy(low)
+                for (a, b, label, errors, letters), (first, last) in zip(near, _word_numbers(low, near), strict=True):
                     score = 1 - errors / letters
-                    rows.append(dict(label=label, exact=False, first=max(first, 0), last=max(last, 0), errors=errors, score=score, found=low[a:b]))
+                    rows.append(dict(label=label, exact=False, first=first, last=last, errors=errors, score=score, found=low[a:b]))
                 sizes.append(len(words))
                 spans.append(rows)
             yield pa.record_batch(
