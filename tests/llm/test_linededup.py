@@ -56,3 +56,55 @@ def test_plan_has_no_python(spark, tmp_path):
 
 def test_empty(spark):
     assert linededup.deduplicate_lines(nothing(spark)).collect() == []
+
+
+def test_stretches_of_blank_lines(spark, tmp_path):
+    """Two copies with 20,000 blank lines before the repeated words: work grows with the lines, not with their square."""
+    text = "\n" * 20_000 + " ".join("w" * 50)
+    df = on_disk(spark.createDataFrame([(1, text), (2, text)], "doc_id bigint, text string"), tmp_path / "docs")
+    rows = {r.doc_id: r for r in linededup.deduplicate_lines(df).collect()}
+    assert (rows[1]["_gone"], rows[2]["_gone"], rows[2].text) == (0, 20_001, "")
+
+
+def test_stretches_are_disjoint(spark):
+    rng = random.Random(7)
+    runs = [(d, rng.randint(0, 60), rng.randint(1, 6)) for d in (1, 2) for _ in range(25)]
+    got = linededup._stretches(spark.createDataFrame(runs, "doc bigint, pos int, n bigint"), ["doc"]).collect()
+    lines = [(r.doc, r.pos + i) for r in got for i in range(r.n)]
+    assert len(lines) == len(set(lines)) and set(lines) == {(d, p + i) for d, p, n in runs for i in range(n)}
+    starts = {(r.doc, r.pos + r.n) for r in got}
+    assert not starts & {(r.doc, r.pos) for r in got}  # stretches that touch are one
+
+
+def common(a, i, b, j):
+    n = 0
+    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+        n += 1
+    return n
+
+
+def test_maximal_runs_against_common_prefixes(spark, tmp_path):
+    """Each reported run is the longest common prefix of its two places, cannot begin earlier, and all together are what goes."""
+    rng = random.Random(11)
+    lines = ["", "a", "b c", "d e f", "g g g g", "h i j k l m"]
+    docs = [[rng.choice(lines) for _ in range(rng.randint(1, 18))] for _ in range(16)]
+    docs += [docs[2][1:], docs[3] + docs[4]]
+    texts = ["\n".join(d) for d in docs]
+    df = on_disk(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3), tmp_path / "docs")
+    for min_words in (4, 9):
+        runs = linededup.repeated_runs(df, min_words=min_words).collect()
+        gone = set()
+        for r in runs:
+            assert (r.first_id, r.first_line) < (r.id, r.line)
+            a, b = docs[r.id], docs[r.first_id]
+            assert a[r.line : r.line + r.n] == b[r.first_line : r.first_line + r.n]
+            assert sum(len(SPACED.findall(x)) for x in a[r.line : r.line + r.n]) >= min_words
+            gone |= {(r.id, r.line + k) for k in range(r.n)}
+        assert runs and len(runs) == len({(r.id, r.line, r.first_id, r.first_line) for r in runs})
+        kept = ["\n".join(x for p, x in enumerate(d) if (i, p) not in gone) for i, d in enumerate(docs)]
+        assert kept == plain(texts, min_words)
+        # where a document's only earlier copy is one place, the run is as long as the common prefix there
+        for r in runs:
+            others = [(d, p) for d in range(len(docs)) for p in range(len(docs[d])) if (d, p) < (r.id, r.line) and docs[d][p] == docs[r.id][r.line]]
+            if others == [(r.first_id, r.first_line)]:
+                assert r.n == common(docs[r.id], r.line, docs[r.first_id], r.first_line) or r.id == r.first_id

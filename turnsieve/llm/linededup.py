@@ -8,8 +8,10 @@ become unique leave; the order is refined until it tells apart the longest prefi
 Suffixes that share ``n`` lines form one interval of the array with a common prefix of at least ``n``; its
 members have equal ranks for the two overlapping halves of those lines. Every line is asked for the shortest run of
 ``MIN_WORDS`` words that starts with it and the shortest that ends with it. Those two cover every maximal
-repeated run of that many words exactly. In each interval the first place is kept, and
-every later one is deleted. The first place of a line's text is never deleted.
+repeated run of that many words exactly. In each interval the first place is kept, and every later one is
+paired with it. Pairs that go on from line to line at the same distance grow together into the longest common
+prefix of the two places: a maximal repeated run (:func:`repeated_runs`). The later copies' lines are deleted, as
+disjoint stretches of a document; the first place of a line's text never is.
 
 Built-in DataFrame functions only. Ranks are fixed by writing each order to the shared folder before it is
 used. The largest window partition is one document; counts, minima and joins are all that runs over
@@ -93,7 +95,8 @@ def _runs(suffixes: DataFrame, min_words: int) -> DataFrame:
 
 
 def _later(ranks: DataFrame, runs: DataFrame, half: int) -> DataFrame:
-    """Runs of ``half`` to ``2 * half - 1`` lines that have an earlier copy."""
+    """``(doc, pos, n, first_doc, first_pos)``: runs of ``half`` to ``2 * half - 1`` lines that have an earlier
+    copy, and the first one. The interval of such suffixes is told by the ranks of the run's two halves."""
     wanted = runs.where((F.col("n") >= half) & (F.col("n") < 2 * half))
     tail = ranks.select("doc", F.col("pos").alias("tail"), F.col("rank").alias("rank2"))
     cells = (
@@ -101,8 +104,28 @@ def _later(ranks: DataFrame, runs: DataFrame, half: int) -> DataFrame:
         .withColumn("tail", F.col("pos") + F.col("n") - half)
         .join(tail, ["doc", "tail"])
     )
-    first = cells.groupBy("n", "rank", "rank2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"))
-    return cells.join(first.where("copies > 1"), ["n", "rank", "rank2"]).where("at > first").select("doc", "pos", "n")
+    interval = cells.groupBy("n", "rank", "rank2").agg(
+        F.min("at").alias("first"),
+        F.min_by("doc", "at").alias("first_doc"),
+        F.min_by("pos", "at").alias("first_pos"),
+        F.count(F.lit(1)).alias("copies"),
+    )
+    later = cells.join(interval.where("copies > 1"), ["n", "rank", "rank2"]).where("at > first")
+    return later.select("doc", "pos", "n", "first_doc", "first_pos")
+
+
+def _stretches(runs: DataFrame, within: list[str]) -> DataFrame:
+    """``(*within, pos, n)``: runs that overlap or touch as one, so that no line is in two; ``n`` lines from ``pos``.
+
+    In the order of ``pos`` a run begins a new stretch if it lies behind the end of all runs before it.
+    """
+    order = Window.partitionBy(*within).orderBy("pos", "n")
+    end = F.col("pos") + F.col("n")
+    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = runs.select(*within, "pos", "n", F.when(F.coalesce(before < F.col("pos"), F.lit(True)), 1).otherwise(0).alias("_opens"))
+    number = F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = opens.withColumn("_stretch", number).groupBy(*within, "_stretch").agg(F.min("pos").alias("pos"), F.max(end).alias("_end"))
+    return merged.select(*within, "pos", (F.col("_end") - F.col("pos")).alias("n"))
 
 
 def _doubled(ranks: DataFrame, half: int) -> DataFrame:
@@ -128,6 +151,39 @@ def _without(text: Column, gone: Column) -> Column:
     return F.array_join(F.flatten(F.transform(kept, lambda r: F.slice(lines, r["from"] + 1, r["to"] - r["from"]))), "\n")
 
 
+def _later_copies(lines: DataFrame, min_words: int) -> DataFrame:
+    """All runs of ``min_words`` words or little more that have an earlier copy, with the first one."""
+    spark = lines.sparkSession
+    ranks = _suffixes(lines)
+    runs = written(_runs(ranks, min_words), "runs")
+    longest = runs.agg(F.max("n")).first()[0] or 0
+    half = 1
+    later = spark.createDataFrame([], "doc bigint, pos int, n bigint, first_doc bigint, first_pos int")
+    while half <= longest:
+        later = later.unionByName(written(_later(ranks, runs, half), "later"))
+        if 2 * half <= longest:
+            ranks = _doubled(ranks, half)
+        half *= 2
+    return later
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``(id, line, n, first_id, first_line)``: maximal repeated runs of lines, each later place with an earlier one.
+
+    ``n`` lines from ``line`` of a document are those from ``first_line`` of ``first_id``, the first place in order
+    that has the run's beginning. Lines count from 0. A copy of several earlier places has a row for each that is the
+    first one of some of its lines. The rules of :func:`deduplicate_lines` hold.
+    """
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("doc", F.monotonically_increasing_id())
+    later = _later_copies(_lines(base, "doc", "id", "text"), min_words)
+    shift = (F.col("first_pos") - F.col("pos")).alias("shift")
+    runs = _stretches(later.select("doc", "first_doc", shift, "pos", "n"), ["doc", "first_doc", "shift"])
+    ids = base.select("doc", "id")
+    firsts = ids.select(F.col("doc").alias("first_doc"), F.col("id").alias("first_id"))
+    named = runs.join(ids, "doc").join(firsts, "first_doc")
+    return named.select("id", F.col("pos").alias("line"), "n", "first_id", (F.col("pos") + F.col("shift")).alias("first_line"))
+
+
 def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the later copies of repeated runs of at least ``min_words`` words.
 
@@ -135,23 +191,15 @@ def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``_gone`` (lines deleted) and ``_words_gone``. Documents count in the order of their ids, rows with equal
     ids in the order in which they are read; a null id comes first. A document that loses every line has an
     empty text. Null texts stay null and have no lines, empty texts are one empty line. ``docs`` is read twice
-    and must be a table or another source that gives its rows in the same order again.
+    and must be a table or another source that gives its rows in the same order again. The work grows with the number
+    of lines, also for stretches of many blank ones. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     docs = docs.drop("_lines", "_gone", "_words_gone")
     key = free_name(docs, "_doc")
     base = docs.withColumn(key, F.monotonically_increasing_id())
     lines = _lines(base, key, id_col, text_col)
-    ranks = _suffixes(lines)
-    runs = written(_runs(ranks, min_words), "runs")
-    longest = runs.agg(F.max("n")).first()[0] or 0
-    half, later = 1, spark.createDataFrame([], runs.schema)
-    while half <= longest:
-        later = later.unionByName(written(_later(ranks, runs, half), "later"))
-        if 2 * half <= longest:
-            ranks = _doubled(ranks, half)
-        half *= 2
-    gone = later.select("doc", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos")).distinct()
+    later = _later_copies(lines, min_words)
+    gone = _stretches(later, ["doc"]).select("doc", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos"))
     counted = (
         lines.select("doc", "pos", "words")
         .join(gone, ["doc", "pos"])
