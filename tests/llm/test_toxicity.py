@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -41,6 +43,11 @@ def model(spark):
         ("st*pid", "stupid"),
         ("w0rthle55", "worthless"),
         ("wwworth-less", "worthless"),
+        ("$ t u p i d", "stupid"),
+        ("s  t  u p i d", "stupid"),
+        ("s t u p 1 d", "stupid"),
+        ("worthles5", "worthless"),
+        ("worthle$$", "worthless"),
     ],
 )
 def test_restored(model, hidden, word):
@@ -85,3 +92,53 @@ def test_labels_are_bounded_and_cleaned(spark):
     labels = labels.union(spark.createDataFrame([(None, 1), (3, None), (4, 0), (4, 0)], "doc_id bigint, toxic int"))
     assert toxicity.labelled(docs, labels, "toxic", 50, "doc_id", "text").count() == 50
     assert toxicity.labelled(docs, labels, "toxic", 500, "doc_id", "text").count() == 240
+
+
+def readings(restorer, token):
+    """Every path of the lattice by itself: its cost and its letters."""
+    paths = [(0.0, "")]
+    for options in restorer.lattice(token):
+        paths = [(cost + c, text + x) for cost, text in paths for x, c in options]
+    return paths
+
+
+def likelihood(model, text):
+    """Of a text under the trigrams; edges in a row count once, and one at the end."""
+    a = b = 0
+    total = 0.0
+    for x in text:
+        code = 0 if x == " " else toxicity._CODE.get(x, toxicity.CODES - 1)
+        if code == 0 and b == 0:
+            continue
+        total += model[a][b][code]
+        a, b = b, code
+    return total + (model[a][b][0] if b else 0)
+
+
+@pytest.mark.parametrize("token", ["m0r0n", "a$$", "hat3", "5tup1d!", "s*t", "m o r", "ttt1lll", "s**t", "x1l|!", "w.0.r", "***", "h3ll0ooo", "1", ""])
+def test_decoder_takes_the_best_path(model, token):
+    restorer = toxicity.Restorer(model.language)
+    scored = [(likelihood(restorer.model, t) - c, " ".join(t.split())) for c, t in readings(restorer, token)]
+    best = max(s for s, _ in scored)
+    found = " ".join(restorer.decode(token).split())
+    assert max(s for s, t in scored if t == found) == pytest.approx(best, abs=1e-4)
+
+
+def test_signs_at_the_end_open_a_lattice(model):
+    kinds = toxicity.Restorer(model.language).kinds
+    assert toxicity.disguised("a$$ hat3 di3, a55. x", kinds) == {"a$$", "hat3", "di3,", "a55."}
+    assert toxicity.disguised("so! (see) 1990 erheat$$$ a1b2c3 r2000", kinds) == {"(see)", "a1b2c3"}
+    assert toxicity.Restorer(model.language).decode("worthless9") in ("worthless ", "worthless", "worthlessg")
+
+
+@pytest.mark.parametrize("signs", ["aGVsbG8gd29ybGQ0", "x1", "1l", "$", "a*", "ab...", "eee"])
+def test_a_long_token_takes_linear_time(model, signs):
+    """A token of a million signs without white space ends, and twice the signs take about twice the time."""
+    restorer = toxicity.Restorer(model.language)
+    seconds = []
+    for n in (100_000, 200_000):
+        token = (signs * (n // len(signs) + 1))[:n]
+        begin = time.perf_counter()
+        toxicity.words_of(token + " end", restorer)
+        seconds.append(time.perf_counter() - begin)
+    assert seconds[1] < 30 and seconds[1] < 4 * seconds[0] + 1

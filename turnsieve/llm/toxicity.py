@@ -1,11 +1,17 @@
 """Toxic texts, also when disguised: noisy-channel restoration before scoring.
 
 A character language model (trigrams, interpolated) is counted over all texts. Words that look disguised
-(look-alike signs before a letter, letters spaced out, signs repeated three times or more) become a lattice:
-every sign may stand for the letters it resembles, separators and repetitions may be nothing. The best path
+(look-alike signs before a letter or one or two at the word's end, letters spaced out, signs repeated three times or
+more) become a lattice: every sign may stand for the letters it resembles, a sign at the end also for itself,
+separators and repetitions may be nothing, masks any letter (up to ``MASKS`` in a row, in words with up to
+``MASKED_ROWS`` such rows; more are no censored word, and masks are separators there). The best path
 under channel costs and the language model is the restored word. Scores use the words of the text and the
 restored ones.
 
+Viterbi's states are the last two letters of a path. Where all paths agree on those, what lies before is decided
+and written out, so a token of any length takes linear time and little memory. A stretch of ``LATTICE`` signs
+without such a place is decided at its end.
+
 What is toxic is learnt from labelled texts: words and word beginnings that occur far more often under
 label 1. A text's evidence (its strongest feature, how many different words carry one) goes through a
 logistic fit. At most ``SAMPLE`` labelled rows (those with the smallest hash of their id) and at most
@@ -42,10 +48,14 @@ LOOKS = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
 SEPARATORS = " .-_*'"
-SIGN_COST, SEPARATOR_COST, MASK_COST, REPEAT_COST, BEAM = 0.7, 0.2, 2.5, 0.4, 60
+SIGN_COST, SEPARATOR_COST, MASK_COST, REPEAT_COST, KEPT_COST = 0.7, 0.2, 2.5, 0.4, 4.0
+MASKS, MASKED_ROWS, LATTICE = 3, 8, 4096
+#: Signs that stand for a letter at a word's end and in series, where the others are punctuation.
+ENDINGS = "0123456789@$€£"
 
-_SPACED = re.compile(r"(?:[^\W_][ .\-_*]){2,}[^\W_](?!\w)")
+_SPACED = re.compile(r"(?:[^\W_]|[@$€£])(?:[ .\-_*]{1,3}(?:[^\W_]|[@$€£])){2,}(?![\w@$€£])")
 _WORD = re.compile(r"[^\W\d_]+")
+_MASKS = re.compile(r"\*+")
 
 
 def _table() -> np.ndarray:
@@ -58,19 +68,21 @@ def _table() -> np.ndarray:
 
 
 def _kinds() -> np.ndarray:
-    """Bits of each character of the basic plane: letter 1, look-alike sign 2, separator 4, mask 8, white space 16, digit 32."""
+    """Bits of each character of the basic plane: letter 1, look-alike sign 2, separator 4, mask 8, white space 16, digit
+    or other sign for a letter in a series 32, sign that counts at a word's end 64."""
     kinds = np.zeros(1 << 16, dtype=np.uint8)
     for i in range(1 << 16):
         c = chr(i)
-        kinds[i] = c.isalpha() | (c in LOOKS) << 1 | (c in " .-_*") << 2 | (c in "*-_.") << 3 | c.isspace() << 4 | c.isdigit() << 5
+        kinds[i] = c.isalpha() | (c in LOOKS) << 1 | (c in " .-_*") << 2 | (c in "*-_.") << 3 | c.isspace() << 4 | (c.isdigit() or c in "@$€£") << 5 | (c in ENDINGS) << 6
     return kinds
 
 
 def disguised(low: str, kinds: np.ndarray) -> set[str]:
     """The words of a lower-cased text that may be disguised.
 
-    Words up to white space with a sign before a letter, one letter three times, or a mask between two
-    letters; and series of three or more single letters or digits with a separator between each two.
+    Words up to white space with a sign before a letter, one or two signs between a letter and the next other
+    character, one letter three times, or a mask between two letters; and series of three or more single letters,
+    digits or signs with one to three separators between each two.
     """
     raw = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     kind = kinds[np.minimum(raw, 0xFFFF)]
@@ -82,6 +94,8 @@ def disguised(low: str, kinds: np.ndarray) -> set[str]:
     odd[:-1] |= (sign[:-1] & letter[1:]).astype(bool)
     odd[:-2] |= (raw[2:] == raw[1:-1]) & (raw[1:-1] == raw[:-2]) & (letter[:-2] > 0)
     odd[:-2] |= (letter[:-2] & (kind[1:-1] >> 3) & letter[2:]).astype(bool)
+    ending = np.r_[(kind >> 6) & 1, 0, 0].astype(bool)
+    odd[:-1] |= (letter[:-1] > 0) & ending[1:n] & ~(ending[2 : n + 1] & ending[3 : n + 2])
     out = set()
     at = np.flatnonzero(odd)
     if len(at):
@@ -90,14 +104,16 @@ def disguised(low: str, kinds: np.ndarray) -> set[str]:
         words = np.unique(np.searchsorted(space, at))
         out = {low[edges[w] + 1 : edges[w + 1]] for w in words.tolist()}
     if n >= 5:
-        single = ((kind & 1) | (kind >> 5)) & 1
-        word = np.r_[0, single, 0]
-        spaced = single[:-4] & apart[1:-3] & single[2:-2] & apart[3:-1] & single[4:] & (1 - word[: n - 4])
-        end = 0
-        for i in np.flatnonzero(spaced).tolist():
-            if i >= end and (m := _SPACED.match(low, i)):
-                out |= {m.group(), re.sub(r"[\W_]", "", m.group())}  # apart, and as one word
-                end = m.end()
+        at = np.flatnonzero(~(apart & np.r_[0, apart[:-1]]).astype(bool))  # of separators in a row the first
+        single, apart = (((kind & 1) | (kind >> 5)) & 1)[at], apart[at]
+        if len(at) >= 5:
+            before = np.r_[0, single[:-1]][: len(at) - 4]
+            spaced = single[:-4] & apart[1:-3] & single[2:-2] & apart[3:-1] & single[4:] & (1 - before)
+            end = 0
+            for i in at[np.flatnonzero(spaced)].tolist():
+                if i >= end and (m := _SPACED.match(low, i)):
+                    out |= {m.group(), re.sub(r"[ .\-_*]", "", m.group())}  # apart, and as one word
+                    end = m.end()
     return out
 
 
@@ -145,17 +161,20 @@ class Restorer(dict):
         self[token] = found
         return found
 
-    def choices(self, token: str, i: int) -> list[tuple[str, float]]:
-        """What the sign at ``i`` may stand for, with the cost; an empty string is nothing."""
+    def choices(self, token: str, i: int, last: int, masked: bool) -> list[tuple[str, float]]:
+        """What the sign at ``i`` may stand for, with the cost; an empty string is nothing. ``last`` is the place of the
+        token's last letter; ``masked`` says that the sign is one of few masks inside the token."""
         c = token[i]
         out: list[tuple[str, float]] = []
         if c.isalpha():
             out.append((c, 0.0))
         elif c in LOOKS:
             out += [(x, SIGN_COST) for x in LOOKS[c]]
+            if i > last and c in ENDINGS:
+                out.append((" ", KEPT_COST))
         if c in SEPARATORS:
             out += [("", SEPARATOR_COST), (" ", 0.0)]
-            if c == "*" and i and i + 1 < len(token):
+            if masked:
                 out += [(x, MASK_COST) for x in LETTERS[:26]]
         elif not out:
             out.append((" ", 0.0))
@@ -163,24 +182,48 @@ class Restorer(dict):
             out.append(("", REPEAT_COST))
         return out
 
-    def decode(self, token: str) -> str:
-        """The best path of the lattice; a beam of ``BEAM`` states."""
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    def lattice(self, token: str) -> Iterator[list[tuple[str, float]]]:
+        """The readings of each sign in turn."""
+        last = max((i for i, c in enumerate(token) if c.isalpha()), default=-1)
+        rows = [(m.start(), m.end()) for m in _MASKS.finditer(token) if 0 < m.start() and m.end() < len(token)]
+        rows = [] if len(rows) > MASKED_ROWS else [r for r in rows if r[1] - r[0] <= MASKS]
+        masked = {i for a, b in rows for i in range(a, b)}
         for i in range(len(token)):
-            following: dict[tuple[int, int], tuple[float, str]] = {}
-            options = [(x, cost, 0 if x == " " else _CODE.get(x, CODES - 1)) for x, cost in self.choices(token, i)]
-            for (a, b), (score, text) in states.items():
+            yield self.choices(token, i, last, i in masked)
+
+    def decode(self, token: str) -> str:
+        """The best path of the lattice. A path is a chain of letters back to where the last ones were written out."""
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        out: list[str] = []
+        open_signs = 0
+        for options in self.lattice(token):
+            coded = [(x, cost, 0 if x == " " else _CODE.get(x, CODES - 1)) for x, cost in options]
+            following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, path) in states.items():
                 row = self.model[a][b]
-                for x, cost, code in options:
+                for x, cost, code in coded:
                     if not x or (code == 0 and b == 0):
-                        key, new = (a, b), (score - cost, text)
+                        key, new = (a, b), (score - cost, path)
                     else:
-                        key, new = (b, code), (score - cost + row[code], text + x)
+                        key, new = (b, code), (score - cost + row[code], (path, x))
                     if key not in following or following[key][0] < new[0]:
                         following[key] = new
-            best = sorted(following.items(), key=lambda s: -s[1][0])[:BEAM]
-            states = dict(best)
-        return max(states.items(), key=lambda s: s[1][0] + (self.model[s[0][0]][s[0][1]][0] if s[0][1] else 0))[1][1]
+            states = following
+            open_signs += 1
+            if len(states) == 1 or open_signs == LATTICE:
+                key, (_, path) = max(states.items(), key=lambda s: s[1][0])
+                out.append(_spelt(path))
+                states, open_signs = {key: (0.0, None)}, 0
+        (_, _), (_, path) = max(states.items(), key=lambda s: s[1][0] + (self.model[s[0][0]][s[0][1]][0] if s[0][1] else 0))
+        return "".join(out) + _spelt(path)
+
+
+def _spelt(path: tuple | None) -> str:
+    signs = []
+    while path is not None:
+        path, x = path
+        signs.append(x)
+    return "".join(reversed(signs))
 
 
 def words_of(text: str, restorer: Restorer) -> set[str]:
@@ -263,7 +306,11 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample: int = SAMPLE
 ) -> Model:
-    """Learn from the rows of ``labels`` that belong to ``docs``. Without labels of both kinds every score is 0."""
+    """Learn from the rows of ``labels`` that belong to ``docs``. Without labels of both kinds every score is 0.
+
+    Null ids and labels are left out, of several labels for an id the larger counts. A repeated document is an example
+    again. Empty tables are no labels.
+    """
     language = language_model(character_counts(docs, text_col))
     known = labelled(docs, labels, label, sample, id_col, text_col)
 
@@ -311,7 +358,11 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1 in a column ``name``, in place of one of that name. Null texts count as empty."""
+    """``docs`` with the probability of label 1 in a column ``name``, in place of one of that name.
+
+    Null texts count as empty, and empty ones are scored like any other. Every row has its score, repeated rows and
+    null ids included; texts of any length are read whole, in time that grows with them. An empty table gives no rows.
+    """
     docs = docs.drop(name)
     at = docs.columns.index(text_col)
     # plain data: a broadcast is unpickled before the code of this package has been sent
