@@ -261,9 +261,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_references(records: DataFrame) -> DataFrame:
-    """Records read from WARC files with ``refers_to``, the page id of the response that a revisit names."""
-    named = records.where("record_type = 'response'").select(F.col("record_id").alias("ref_id"), F.col("page_id").alias("refers_to"))
-    return records.join(named, "ref_id", "left")
+    """Records read from WARC files with ``refers_to``, the page id of the response that a revisit names.
+
+    Only revisits are joined: responses name no other record.
+    """
+    responses = records.where("record_type = 'response'")
+    named = responses.select(F.col("record_id").alias("ref_id"), F.col("page_id").alias("refers_to"))
+    revisits = records.where("record_type = 'revisit'").join(named, "ref_id", "left")
+    kind = records.schema["page_id"].dataType
+    return responses.withColumn("refers_to", F.lit(None).cast(kind)).unionByName(revisits)
 
 
 def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
