@@ -57,3 +57,29 @@ def test_empty(spark):
     assert decontaminate.decontaminate(nothing(spark), items(spark, [(1, "a b")])).collect() == []
     rows = decontaminate.decontaminate(documents(spark), items(spark, [])).collect()
     assert len(rows) == documents(spark).count() and all(r.n_hit == 0 and r["items"] == [] for r in rows)
+
+
+def test_blocks_follow_each_other(spark, monkeypatch):
+    """With hundreds of blocks each is written before the next is collected, and none stays broadcast."""
+    order = []
+    write = decontaminate.written
+
+    def watched(df, name, path=None):
+        if name == "matches":
+            order.append("written")
+        return write(df, name, path)
+
+    one = decontaminate._search_block
+
+    def block(index, rows, item, near):
+        order.append("collected")
+        return one(index, rows, item, near)
+
+    monkeypatch.setattr(decontaminate, "written", watched)
+    monkeypatch.setattr(decontaminate, "_search_block", block)
+    rows = [(k, prose(12, 700 + k)) for k in range(10)]
+    docs = [(k, prose(5, k) + " " + t) for k, t in rows]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)
+    found = decontaminate.decontaminate(df, items(spark, rows), block_windows=1).collect()
+    assert len(order) >= 40 and order == ["collected", "written"] * (len(order) // 2)
+    assert sorted(((r.id, r.n_words, r.n_hit, r["items"]) for r in found), key=str) == plain(docs, rows)

@@ -172,19 +172,22 @@ def search(index: DataFrame, windows: DataFrame, near: int = NEAR, block_windows
     """Matches ``(segment, row, item, kind, start, length)``: spans of whole windows of one item.
 
     ``kind`` is ``phrase`` or ``near``; windows that match as phrases beside each other are one span. Near
-    matches that are phrases are left out. ``start`` counts words of the document from 0.
+    matches that are phrases are left out. ``start`` counts words of the document from 0. Windows are searched in
+    blocks of about ``block_windows``: a block's matches are written before the next block is collected and sent
+    out, so the driver and the executors hold one block at a time.
     """
     item = windows.select("item")
     windows = written(windows, "windows")
     blocks = max(1, -(-windows.count() // block_windows))
-    parts = [
-        _search_block(index, windows.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b).collect(), item, near)
-        for b in range(blocks)
-    ]
+    parts = []
+    for b in range(blocks):
+        some = windows.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b)
+        parts.append(_search_block(index, some.collect(), item, near))
     return reduce(DataFrame.unionByName, parts)
 
 
 def _search_block(index: DataFrame, block: list, item: DataFrame, near: int) -> DataFrame:
+    """The written matches of a block of windows."""
     terms = sorted({w for r in block for w in r.words})
     number = {w: i for i, w in enumerate(terms)}
     length = max((len(r.words) for r in block), default=1)
@@ -230,7 +233,9 @@ def _search_block(index: DataFrame, block: list, item: DataFrame, near: int) ->
 
     kinds = f"segment bigint, row int, item {item.dtypes[0][1]}, kind string, start int, length int"
     slim = index.select("segment", "lengths", "terms", "sizes", "places")
-    return slim.mapInArrow(run, kinds)
+    found = written(slim.mapInArrow(run, kinds), "matches")
+    sent.destroy()
+    return found
 
 
 def _covered(spans: Column) -> Column:
@@ -255,10 +260,12 @@ def decontaminate(
     """Per row of ``docs``: ``(id, n_words, n_hit, items, n_near)``.
 
     ``n_hit`` counts the words inside any occurrence of a window, ``items`` lists the items with one in
-    the order of their ids as strings, ``n_near`` counts the near spans. No items: nothing is hit.
+    the order of their ids as strings, ``n_near`` counts the near spans. No items: nothing is hit. Null and empty
+    texts have no words, items with a null id are left out, repeated rows and ids stay, texts of any length are searched
+    whole, other columns may have any name, and an empty table gives no rows.
     """
     index = build_index(docs, id_col, text_col, segment_words)
-    matches = written(search(index, windows_of(items, window=window), block_windows=block_windows), "matches")
+    matches = search(index, windows_of(items, window=window), block_windows=block_windows)
     phrase = F.col("kind") == "phrase"
     hits = matches.groupBy("segment", "row").agg(
         F.collect_list(F.when(phrase, F.struct("start", "length"))).alias("spans"),
