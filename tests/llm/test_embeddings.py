@@ -75,3 +75,30 @@ def test_graph_is_kept(spark):
     again = embeddings.Graph.unpacked(*graph.packed(), graph.entry, 16)
     for i in range(0, 200, 9):
         assert set(graph.linked(x[i], i, beam, 0.93)) == set(again.linked(x[i], i, beam, 0.93))
+
+
+def test_a_graph_that_cannot_be_walked_is_compared_whole(spark):
+    """Without links between its nodes no beam passes the audit: the shard has no beam, and all links are found."""
+    x = embeddings._unit([v for _, v, _ in vectors(120, 8)])
+    torn = embeddings.Graph(x, [{n: np.zeros(0, dtype=np.int64) for n in range(len(x))}], 0)
+    assert torn.audited_beam(0.93) == (0, 1.0)
+    for i in range(0, len(x), 7):
+        assert set(torn.linked(x[i], i, 0, 0.93)) == set(np.flatnonzero(x @ x[i] >= 0.93))
+
+
+def test_no_join_by_the_label_alone(spark):
+    df = spark.createDataFrame([(*r, 0, "other") for r in vectors(60, 3)], KINDS)
+    groups = []
+    write = embeddings.written
+
+    def watched(frame, name, path=None):
+        if name == "found":
+            groups.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, name, path)
+
+    embeddings.written = watched
+    try:
+        embeddings.near_duplicates(df, shard=20, block=5).collect()
+    finally:
+        embeddings.written = write
+    assert "FlatMapCoGroups" in groups[0] and "Join" not in groups[0]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import written
 from .components import components
 
-THRESHOLD, SHARD, BLOCK = 0.93, 8192, 2048
+THRESHOLD, SHARD, BLOCK, PART = 0.93, 8192, 2048, 4
 NEIGHBOURS, BUILD_BEAM, BEAM, AUDIT, RECALL = 12, 48, 32, 64, 0.99
 #: The beam also keeps what lies this much below the threshold, since a path may lead through it.
 MARGIN = 0.05
@@ -140,7 +140,10 @@ class Graph:
         return np.array([f[0] for f in found]), np.array([f[1] for f in found], dtype=np.int64)
 
     def linked(self, q: np.ndarray, own: int | None, beam: int, threshold: float) -> np.ndarray:
-        """Nodes found at ``threshold`` or more; everything above it (less a margin) is walked through."""
+        """Nodes found at ``threshold`` or more; everything above it (less a margin) is walked through. Without a beam
+        every vector is compared."""
+        if not beam:
+            return np.flatnonzero(self.x @ q >= threshold)
         at = self.entry
         for layer in range(len(self.layers) - 1, 0, -1):
             at = self._descend(q, at, layer)
@@ -149,14 +152,20 @@ class Graph:
         return found if own is None or own in found else np.append(found, own)  # a unit vector's own product may round below 1
 
     def audited_beam(self, threshold: float, beam: int = BEAM, sample: int = AUDIT, recall: float = RECALL) -> tuple[int, float]:
-        """A beam at which a sample's links, searched from the top alone, are found; with the recall measured."""
+        """A beam at which a sample's links, searched from the top alone, are found; with the recall measured.
+
+        Where a beam as wide as the shard falls short, the graph has parts that cannot be reached: 0, no beam, and
+        the shard is compared whole.
+        """
         chosen = np.unique(np.linspace(0, len(self.x) - 1, min(sample, len(self.x))).astype(int))
         truth = [np.flatnonzero(self.x @ self.x[i] >= threshold) for i in chosen]
         total = sum(map(len, truth))
         while True:
             hit = sum(len(np.intersect1d(t, self.linked(self.x[i], None, beam, threshold))) for i, t in zip(chosen, truth, strict=True))
-            if hit >= recall * total or beam >= len(self.x):
+            if hit >= recall * total:
                 return beam, hit / max(1, total)
+            if beam >= len(self.x):
+                return 0, 1.0
             beam *= 2
 
     def packed(self) -> tuple[bytes, bytes, bytes]:
@@ -206,7 +215,8 @@ def near_duplicates(
 
     Rows whose vector, label or id is null, or whose vector is empty, zero or has a null or non-finite
     component, link with nothing and are their own component. Only vectors of one length are compared.
-    Repeated rows count as vectors of their own.
+    Repeated rows count as vectors of their own. Ids are BIGINT; other columns may have any name; an empty table gives
+    no rows.
     """
     rows, nodes = _distinct(vectors, id_col, vector_col, label_col)
     kind = dict(rows.dtypes)["label"]
@@ -215,8 +225,9 @@ def near_duplicates(
     # independent of the shard's number, so that a block has vectors of all shards
     blocks = F.ceil(F.lit(shard / block) * F.col("shards")).cast("int")
     dealt = nodes.join(sizes, ["label", "dim"]).select(
-        "label", "dim", "node", "v", "weight", "shards", spread.alias("shard"), F.pmod(F.xxhash64(F.lit(3), "node"), blocks).cast("int").alias("block")
-    )
+        "label", "dim", "node", "v", "weight", "shards", blocks.alias("blocks"), spread.alias("shard"),
+        F.pmod(F.xxhash64(F.lit(3), "node"), blocks).cast("int").alias("block"),
+    )
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
@@ -228,10 +239,14 @@ def near_duplicates(
                 "label": group["label"].iloc[:1].tolist(), "dim": group["dim"].iloc[:1].tolist(), "shard": group["shard"].iloc[:1].tolist(),
                 "nodes": [group["node"].to_numpy(dtype="<i8").tobytes()], "weights": [group["weight"].to_numpy(dtype="<i8").tobytes()],
                 "x": [x], "head": [head], "tail": [tail], "entry": [graph.entry], "beam": [beam], "recall": [recall],
+                "blocks": group["blocks"].iloc[:1].tolist(),
             }
         )
 
-    graph_kinds = f"label {kind}, dim int, shard int, nodes binary, weights binary, x binary, head binary, tail binary, entry int, beam int, recall double"
+    graph_kinds = (
+        f"label {kind}, dim int, shard int, nodes binary, weights binary, x binary, head binary, tail binary, entry int, "
+        "beam int, recall double, blocks int"
+    )
     graphs = written(dealt.groupBy("label", "dim", "shard").applyInPandas(build, graph_kinds), "graphs")
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
@@ -240,16 +255,19 @@ def near_duplicates(
             {
                 "label": group["label"].iloc[:1].tolist(), "dim": group["dim"].iloc[:1].tolist(), "block": group["block"].iloc[:1].tolist(),
                 "q_nodes": [group["node"].to_numpy(dtype="<i8").tobytes()], "q": [_unit(group["v"].tolist()).tobytes()],
+                "shards": group["shards"].iloc[:1].tolist(),
             }
         )
 
-    queries = dealt.groupBy("label", "dim", "block").applyInPandas(gather, f"label {kind}, dim int, block int, q_nodes binary, q binary")
+    query_kinds = f"label {kind}, dim int, block int, q_nodes binary, q binary, shards int"
+    queries = dealt.groupBy("label", "dim", "block").applyInPandas(gather, query_kinds)
 
-    def search(pair: pd.DataFrame) -> pd.DataFrame:
+    def search(asking: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for r in pair.itertuples(index=False):
-            graph = Graph.unpacked(r.x, r.head, r.tail, r.entry, r.dim)
-            nodes, weights = np.frombuffer(r.nodes, dtype="<i8"), np.frombuffer(r.weights, dtype="<i8")
+        g = next(graphs.itertuples(index=False))
+        graph = Graph.unpacked(g.x, g.head, g.tail, g.entry, g.dim)
+        nodes, weights = np.frombuffer(g.nodes, dtype="<i8"), np.frombuffer(g.weights, dtype="<i8")
+        for r in asking.itertuples(index=False):
             asked, q = np.frombuffer(r.q_nodes, dtype="<i8"), np.frombuffer(r.q).reshape(-1, r.dim)
             at = np.searchsorted(nodes, asked)
             root: dict[int, int] = {}
@@ -261,7 +279,7 @@ def near_duplicates(
 
             for i, (node, j) in enumerate(zip(asked.tolist(), at.tolist(), strict=True)):
                 own = j if j < len(nodes) and nodes[j] == node else None
-                found = graph.linked(q[i], own, r.beam, threshold)
+                found = graph.linked(q[i], own, g.beam, threshold)
                 links = int(weights[found].sum()) - (own is not None)  # itself is one of its vector's rows
                 if links:
                     out.append((node, links, None))
@@ -272,8 +290,13 @@ def near_duplicates(
                         out.append((node, 0, other))
         return pd.DataFrame(out, columns=["node", "links", "other"]).astype({"other": "Int64"})
 
-    # a task holds one graph and one block at a time
-    pairs = queries.join(graphs, ["label", "dim"]).groupBy("label", "dim", "shard", "block")
+    # a group is one graph and PART blocks of queries, however many shards and blocks its label has
+    part = F.floor(F.col("block") / PART).cast("int")
+    asking = queries.select("*", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    last = F.floor((F.col("blocks") - 1) / PART).cast("int")
+    asked = graphs.select("*", F.explode(F.sequence(F.lit(0), last)).alias("part"))
+    keys = ["label", "dim", "shard", "part"]
+    pairs = asking.groupBy(*keys).cogroup(asked.groupBy(*keys))
     found = written(pairs.applyInPandas(search, "node bigint, links bigint, other bigint"), "found")
     counts = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     classes = components(found.where("other IS NOT NULL"), "node", "other")
