@@ -196,8 +196,16 @@ def test_positions_follow_file_numbers(spark, tmp_path):
 def test_json_array(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"id": "x", "conversations": [{"from": "human", "value": "q"}]}, {"id": null}]')
     df = readers.read_json_array(spark, str(tmp_path / "a.json"), schemas.SHARED_CHAT, str(tmp_path / "p"))
-    (only,) = registry.source_records("sharegpt", readers.with_positions(df)).collect()
-    assert (only.id, turns(only)) == ("x", [("user", "q")])
+    (only,) = registry.source_records("sharegpt", df).collect()
+    assert (only.id, only.row_idx, turns(only)) == ("x", 0, [("user", "q")])
+
+
+def test_digits_too_long_for_a_number(spark, tmp_path):
+    spark.range(2).coalesce(1).write.parquet(str(tmp_path / "w"))
+    (part,) = (tmp_path / "w").glob("*.parquet")
+    (tmp_path / f"train-{'9' * 23}.parquet").write_bytes(part.read_bytes())
+    placed = readers.with_positions(readers.read_parquet(spark, str(tmp_path / f"train-{'9' * 23}.parquet")))
+    assert sorted((r.file_idx, r.row_idx) for r in placed.collect()) == [(0, 0), (0, 1)]
 
 
 def test_files_with_one_number_are_numbered_by_path(spark, tmp_path):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from turnsieve import session
 from turnsieve.functions.turns import turn
-from turnsieve.operators import rebuild, render, results, scoring, select
+from turnsieve.operators import dedup, rebuild, render, results, scoring, select
 from turnsieve.operators.conversations import records
 from turnsieve import schemas
 from turnsieve.plans import config, prepare, publish, retry
@@ -61,23 +61,38 @@ def test_language_filter(spark):
     assert prepare.survivors(chats(spark, TEXTS, language=None), CONFIG).count() == 0
 
 
-@pytest.mark.parametrize(("rules", "shuffles"), [(prepare.CHAT_LOG, 1), (prepare.ADAPTER, 2)])
-def test_only_bounded_rows_are_shuffled(spark, tmp_path, rules, shuffles):
-    chats(spark, TEXTS).write.parquet(str(tmp_path / "chats"))
-    df = prepare.survivors(spark.read.parquet(str(tmp_path / "chats")), CONFIG, rules)
-    node, exchanges = df._jdf.queryExecution().executedPlan(), []
-    stack = [node]
+def exchanges(df):
+    """Columns of every shuffle in the plan."""
+    stack, found = [df._jdf.queryExecution().executedPlan()], []
     while stack:
         n = stack.pop()
         if n.nodeName() == "AdaptiveSparkPlan":
             stack.append(n.executedPlan())
         if n.nodeName() == "Exchange":
-            exchanges.append(n.output().mkString(","))
+            found.append({c.split("#")[0] for c in n.output().mkString(",").split(",")})
         stack += [n.children().apply(i) for i in range(n.children().length())]
-    assert len(exchanges) == shuffles
-    for columns in exchanges:
-        names = {c.split("#")[0] for c in columns.split(",")}
-        assert {"body", "first_user_preview"} <= names and not names & {"first_user", "conversation"}
+    return found
+
+
+@pytest.mark.parametrize("rules", [prepare.CHAT_LOG, prepare.ADAPTER])
+def test_bodies_are_shuffled_once(spark, tmp_path, rules):
+    """With a slim side too large to broadcast a body crosses one exchange, and unbounded texts cross none."""
+    chats(spark, TEXTS).write.parquet(str(tmp_path / "chats"))
+    rows = spark.read.parquet(str(tmp_path / "chats"))
+    with session.settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plans = [exchanges(f(rows, CONFIG, rules)) for f in (prepare.survivors, prepare.prepare)]
+    for found in plans:
+        assert sum("body" in names for names in found) == 1
+        assert not any(names & {"first_user", "conversation"} for names in found)
+
+
+@pytest.mark.parametrize("steps", [1, 2])
+def test_whole_rows_are_shuffled_once_for_both_steps(spark, tmp_path, steps):
+    chats(spark, TEXTS).write.parquet(str(tmp_path / "chats"))
+    rows = spark.read.parquet(str(tmp_path / "chats"))
+    with session.settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        found = exchanges(dedup.keep_first_text(rows) if steps == 1 else dedup.keep_first_by_id_then_text(rows))
+    assert sum("conversation" in names for names in found) == 1
 
 
 def test_stored_spellings_reach_the_reader(spark, tmp_path):
@@ -240,6 +255,25 @@ def test_rebuild_rules(spark):
     assert rebuild.rebuild_coverage(selected, source).first().asDict() == {"selected": 3, "found": 2, "missing": 1}
 
 
+def test_stored_by_key_scores_and_sources_join_in_place(spark, tmp_path):
+    """Nothing small enough to broadcast, and still only the rows found are shuffled, by their position."""
+    rows = [(i, f"k{i % 40}", "ok", i % 4, 3, 3) for i in range(200)]
+    scores = spark.createDataFrame(rows, "ord int, key string, status string, conceptual int, novelty int, well_formed int")
+    source = spark.createDataFrame([(0, i, f"k{i % 60}", f"text {i}", "s") for i in range(300)], "file_idx long, row_idx long, key string, conversation string, source string")
+    wanted = rebuild.rebuild_prompts(rebuild.selected_keys(scores, ["ord"]), source)
+    scores = sinks.write_keyed(scores, "keyed_scores", f"{tmp_path}/scores", 4)
+    source = sinks.write_keyed(source, "keyed_source", f"{tmp_path}/source", 4)
+    with session.settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        selected = rebuild.selected_keys(scores, ["ord"])
+        out = rebuild.rebuild_prompts(selected, source)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+        assert len(dealt) == 2 and all("hashpartitioning(file_idx" in line for line in dealt)
+        covered = rebuild.rebuild_coverage(selected, source)
+        assert "hashpartitioning(key" not in covered._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_browsing(spark):
     hits = spark.createDataFrame(
         [(i, c, n, w) for i, (c, n, w) in enumerate([(2, 1, 3), (3, 0, 0), (2, 3, 0), (3, 0, 1), (2, 1, 3)])],

@@ -3,6 +3,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from turnsieve.operators import dedup, results
+from turnsieve.sources import readers, sinks
 from turnsieve.streaming import collect, prepare
 
 SCHEMA = "file_idx long, row_idx long, first_user string"
@@ -78,11 +79,65 @@ def answers(spark, folder, rows):
     df.coalesce(1).write.mode("append").json(str(folder))
 
 
+def test_a_batch_reads_its_own_files_only(spark, tmp_path, monkeypatch):
+    """What a batch reads does not grow with history: its keys are looked up in the state, its rows in its files."""
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    read = []
+    rows_of = prepare.rows_of
+
+    def watched(session, at, kinds, to_records, files):
+        df = rows_of(session, at, kinds, to_records, files)
+        read.append(df.rdd.getNumPartitions())  # a task for each file here
+        return df
+
+    monkeypatch.setattr(prepare, "rows_of", watched)
+    sizes = []
+    for n in range(4):
+        arrive(spark, folder, n, [f"{n} {i}" for i in range(50)])
+        query = prepare.stream_prepare_exact(spark, str(folder), schema(spark), lambda d: d, out, state)
+        query.awaitTermination()
+        sizes.append(query.lastProgress["numInputRows"])
+    assert sizes == [50] * 4 and read == [1] * 4
+    assert spark.read.parquet(out).count() == 200
+
+
+def test_keys_out_of_order_are_kept_once(spark, tmp_path):
+    """A key that comes again from an earlier file, and one whose rows are spread over the files of a batch."""
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        prepare.stream_prepare_exact(
+            spark, str(folder), schema(spark), lambda d: d, out, state, files_per_batch=None
+        ).awaitTermination()
+
+    arrive(spark, folder, 5, ["x", "y"])
+    run()
+    arrive(spark, folder, 1, ["x", "z", "w"])
+    arrive(spark, folder, 0, ["w", "v", "Z "])
+    run()
+    kept = {(r.file_idx, r.row_idx) for r in spark.read.parquet(out).collect()}
+    assert kept == {(5, 0), (5, 1), (0, 0), (0, 1), (0, 2)}
+
+
+def test_the_session_keeps_its_settings(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    folder = tmp_path / "in"
+    arrive(spark, folder, 0, ["a"])
+    prepare.stream_prepare(
+        spark, str(folder), schema(spark), lambda d: d, str(tmp_path / "out"), str(tmp_path / "state")
+    ).awaitTermination()
+    assert spark.conf.get(key) == before
+
+
+def manifests(spark, rows):
+    kinds = "shard_id string, custom_id string, conversation_hash string"
+    return spark.createDataFrame(rows, kinds)
+
+
 def test_collect_by_passes(spark, tmp_path):
     folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    manifest = spark.createDataFrame([("0", "a", "h"), ("0", "b", "i")], "shard_id string, custom_id string, conversation_hash string")
-    log = collect.ProgressLog()
-    spark.streams.addListener(log)
+    manifest = manifests(spark, [("0", "a", "h"), ("0", "b", "i")])
     answers(spark, folder, [("0", "a", GOOD), ("0", "x", "{")])
     seen = []
 
@@ -99,14 +154,42 @@ def test_collect_by_passes(spark, tmp_path):
     assert seen == [2, 4]
     rows = {(r.custom_id, r.status.split(":")[0], r.conversation_hash) for r in spark.read.parquet(out).collect()}
     assert rows == {("a", "ok", "h"), ("x", "parse_error", None), ("b", "ok", "i"), ("a", "out_of_range", None)}
-    for _ in range(50):
-        if sum(c["n_rows"] for c in log.cycles) == 4:
-            break
-        import time
-
-        time.sleep(0.1)
-    spark.streams.removeListener(log)
-    assert log.totals() == {"n_rows": 4, "ok": 2, "refusal": 0, "error": 2}
+    per_batch = sorted(map(tuple, collect.progress(spark, out).collect()))
+    assert per_batch == [(0, 2, 1, 0, 1), (1, 2, 1, 0, 1)]
+    assert tuple(collect.totals(spark, out).first()) == (2, 4, 2, 0, 2)
+
+
+def test_a_replayed_batch_is_collected_once(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    manifest = manifests(spark, [("0", "a", "h"), ("1", "a", "i")])
+
+    def run():
+        collect.stream_collect(spark, str(folder), manifest, out, str(state)).awaitTermination()
+
+    def stored():
+        return sorted(map(str, spark.read.parquet(out).collect())), collect.totals(spark, out).first()
+
+    for shard in "01":
+        answers(spark, folder, [(shard, "a", GOOD), (shard, "b", "[")])
+        run()
+    before = stored()
+    for name in ("1", ".1.crc"):  # the last batch was not committed
+        (state / "commits" / name).unlink(missing_ok=True)
+    run()
+    assert stored() == before and before[1].n_rows == 4
+    answers(spark, folder, [("1", "c", GOOD)])
+    run()  # goes on after the replay
+    assert tuple(collect.totals(spark, out).first()) == (3, 5, 3, 0, 2)
+
+
+def test_only_the_shards_of_a_batch_are_looked_up(spark, tmp_path):
+    rows = [(str(s), str(i), "h") for s in range(20) for i in range(3)]
+    sinks.write_manifest(manifests(spark, rows), str(tmp_path / "manifest"))
+    manifest = readers.read_manifest(spark, str(tmp_path / "manifest"))
+    some = collect.manifest_of(manifest, ["3", "17", None])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [shard_id" in plan.replace("isnotnull(shard_id", "shard_id")
+    assert {r.shard_id for r in some.collect()} == {"3", "17"}
 
 
 def test_collect_equals_batch(spark, tmp_path):

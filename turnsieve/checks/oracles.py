@@ -203,6 +203,14 @@ _LONG = """
 _OF_LONG = """SELECT id, row_idx, count(*) AS n_turns, count(*) FILTER (role = 'user') AS n_user_turns,
                coalesce(arg_min(content, turn) FILTER (role = 'user' AND content <> ''), '') AS first_user"""
 oracle("assemble_long_conversations", f"{_OF_LONG}, {_SHOWN} AS conversation FROM ({_LONG}) GROUP BY id, row_idx")
+oracle(
+    "conversation_chunks",
+    f"""SELECT id, row_number() OVER (PARTITION BY id ORDER BY cut) - 1 AS chunk,
+               coalesce(sum(n) OVER (PARTITION BY id ORDER BY cut ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_turn,
+               n AS n_turns, shown AS conversation, n_turns AS turns_in_all, n_user_turns AS user_turns_in_all, first_user
+        FROM (SELECT id, turn // 1000 AS cut, count(*) AS n, {_SHOWN} AS shown FROM ({_LONG}) GROUP BY ALL)
+        JOIN ({_OF_LONG} FROM ({_LONG}) GROUP BY id, row_idx) USING (id)""",
+)
 oracle(
     "assemble_heads",
     f"""{_OF_LONG}, arg_min(content, turn) AS first_content,
@@ -228,7 +236,8 @@ oracle("user_turns_only", "SELECT id, turn, role, content FROM chat_b WHERE role
 oracle(
     "fallback_conversation",
     """SELECT 'philosophy_se' AS source, a.doc_id AS row_idx, 2::BIGINT AS n_turns,
-              left(CASE WHEN a.doc_id % 5 = 0 THEN a.source ELSE a.text END, 100) AS title,
+              left(CASE WHEN a.doc_id % 5 = 0 THEN a.source ELSE a.text END, 100) AS title, 24::BIGINT AS key_chars,
+              min(a.doc_id) OVER (PARTITION BY CASE WHEN a.doc_id % 5 = 0 THEN a.source ELSE a.text END) AS first_row,
               'user: ' || CASE WHEN a.doc_id % 3 = 0 THEN a.source ELSE a.text END || chr(10)
                   || 'assistant: ' || coalesce(b.text, '') AS conversation
        FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1
@@ -326,6 +335,7 @@ oracle(
 for _name in ("preference_chat", "shared_chat", "gated_chat"):
     _source = {"preference_chat": "prism", "shared_chat": "sharegpt", "gated_chat": "lmsys"}[_name]
     ORACLES[f"{_source}_source"] = ORACLES[_name]
+ORACLES["read_json_array_source"] = ORACLES["sharegpt_source"]
 oracle(
     "qa_site_source",
     f"""SELECT * EXCLUDE (id, question), 24::BIGINT AS key_chars, min(row_idx) OVER (PARTITION BY question) AS first_row
@@ -627,6 +637,13 @@ run_oracle(
                'reasoning' AS first_field FROM prepared""",
 )
 
+run_oracle(
+    "config_drift",
+    f"""SELECT shard_id, CASE WHEN uneven THEN {_FINGERPRINT.replace("test-model", "next-model")} ELSE {_FINGERPRINT} END AS fingerprint,
+               count(*) AS n_requests, uneven AS drifted
+        FROM (SELECT shard_id, right(shard_id, 1)::INT % 2 = 1 AS uneven FROM prepared) GROUP BY shard_id, uneven""",
+)
+
 # -- scoring and results ------------------------------------------------------------------------
 
 
@@ -703,6 +720,19 @@ oracle(
        FROM (SELECT *, status <> 'ok' AND (n_chars % 3 <> 0 OR n_chars % 5 = 0) AS mended FROM results)""",
     *_READ,
 )
+oracle(
+    "patch_shards_on_disk",
+    """SELECT shard_id, custom_id, CASE WHEN mended THEN 'ok' ELSE status END AS status,
+              CASE WHEN mended AND n_chars % 5 = 0 THEN 3 WHEN mended THEN 1 ELSE conceptual END AS conceptual,
+              CASE WHEN mended THEN 2 ELSE novelty END AS novelty,
+              CASE WHEN mended THEN 3 ELSE well_formed END AS well_formed,
+              CASE WHEN mended THEN 'again' ELSE reasoning END AS reasoning,
+              CASE WHEN mended THEN n_chars ELSE input_tokens END AS input_tokens,
+              CASE WHEN mended AND doc_id % 3 > 0 THEN doc_id % 200 WHEN mended THEN 0
+                   ELSE output_tokens END AS output_tokens
+       FROM (SELECT *, status <> 'ok' AND shard_id > '0000' AND (n_chars % 3 <> 0 OR n_chars % 5 = 0) AS mended FROM results)""",
+    *_READ,
+)
 oracle(
     "patch_counts",
     """SELECT count(*) FILTER (n_chars % 3 <> 0 OR n_chars % 5 = 0) AS fixed,
@@ -754,6 +784,13 @@ oracle(
         FROM picked JOIN copies USING (key)""",
     "scores", "all_scores", "picked", "copies",
 )
+ORACLES["rebuild_prompts_in_place"] = ORACLES["rebuild_prompts"]
+oracle(
+    "rebuild_source",
+    f"""SELECT id AS key, 'sharegpt' AS source, {_AXES}, conversation FROM ({_PICKED_LOW}) AS p
+        JOIN (SELECT id, {_SHOWN} AS conversation FROM kept_sent GROUP BY id) AS c ON c.id = replace(key, 'doc_', 'conv_')""",
+    "scores", "all_scores", "chat_b", "kept_sent",
+)
 oracle(
     "rebuild_turns",
     f"""SELECT id AS key, turn, role, content, {_AXES}
@@ -792,6 +829,14 @@ oracle(
         ORDER BY well_formed DESC, conceptual DESC, novelty DESC, ord LIMIT 20 OFFSET 10""",
     "scores", "all_scores",
 )
+oracle(
+    "browse_window_deep",
+    f"""SELECT ord, key, {_AXES} FROM (
+          SELECT *, row_number() OVER (ORDER BY novelty DESC NULLS LAST, conceptual DESC NULLS LAST, well_formed DESC NULLS LAST, ord) AS nth,
+                 count(*) OVER () * 9 // 10 AS start FROM all_scores WHERE {_SHOWABLE})
+        WHERE nth > start AND nth <= start + 20""",
+    "scores", "all_scores",
+)
 oracle(
     "hit_prompts",
     f"""SELECT s.shard_id, CASE WHEN ord % 13 = 0 THEN 'none_' || ord ELSE s.custom_id END AS custom_id, {_AXES},
@@ -888,6 +933,31 @@ oracle(
         WHERE conceptual >= 2 AND novelty >= 1 AND well_formed >= 1 ORDER BY doc_id LIMIT 10""",
 )
 
+_SCANNED = "documents WHERE doc_id BETWEEN 37 AND 736"
+_CHOSEN = f"SELECT min(doc_id) FROM {_SCANNED} AND lang IN ('en', 'de') GROUP BY {key('text')}"
+_HIT = "conceptual >= 2 AND novelty >= 1 AND well_formed >= 1"
+oracle(
+    "scan_and_classify",
+    f"SELECT doc_id AS row_idx, status, {_AXES}, reasoning, {_HIT} AS is_hit FROM ({_SCORED}) WHERE doc_id IN ({_CHOSEN})",
+)
+oracle(
+    "scan_and_classify_counters",
+    f"""WITH chosen AS (SELECT * FROM ({_SCORED}) WHERE doc_id IN ({_CHOSEN})),
+             again AS (SELECT count(*) AS n FROM documents WHERE doc_id BETWEEN 100 AND 159),
+             other AS (SELECT count(*) AS n FROM {_SCANNED} AND lang NOT IN ('en', 'de')),
+             spoken AS (SELECT count(*) AS n FROM {_SCANNED} AND lang IN ('en', 'de'))
+        SELECT 'rows_seen' AS name, (SELECT count(*) FROM {_SCANNED}) + n AS value FROM again
+        UNION ALL SELECT 'repeated_rows', n FROM again
+        UNION ALL SELECT 'other_language', n FROM other
+        UNION ALL SELECT 'duplicates', n - (SELECT count(*) FROM chosen) FROM spoken
+        UNION ALL SELECT 'candidates', count(*) FROM chosen
+        UNION ALL SELECT 'classified', count(*) FROM chosen
+        UNION ALL SELECT 'failures', 0
+        UNION ALL SELECT 'hits', count(*) FILTER ({_HIT}) FROM chosen
+        UNION ALL SELECT 'input_tokens', coalesce(sum(input_tokens), 0)::BIGINT FROM chosen
+        UNION ALL SELECT 'output_tokens', coalesce(sum(output_tokens), 0)::BIGINT FROM chosen""",
+)
+
 # -- streams: the same rows as the batch operators ---------------------------------------------
 
 oracle("stream_prepare", f"SELECT DISTINCT {digest('text')} AS digest FROM documents")
@@ -901,6 +971,14 @@ oracle(
         FROM results r LEFT JOIN manifests m USING (custom_id)""",
     *_READ, "manifests",
 )
+_ARRIVAL = "(shard_id >= '0004')::BIGINT"
+oracle(
+    "collect_progress",
+    f"""SELECT {_ARRIVAL} AS bid, count(*) AS n_rows, count(*) FILTER (state = 'ok') AS ok,
+               count(*) FILTER (state = 'refusal') AS refusal, count(*) FILTER (state NOT IN ('ok', 'refusal')) AS error
+        FROM (SELECT shard_id, {_RANGED} AS state FROM results) GROUP BY 1""",
+    *_READ,
+)
 oracle(
     "stream_watch",
     _STATUS_COUNTS.replace("FROM results", f"FROM (SELECT * REPLACE ({_RANGED} AS status) FROM results)"),

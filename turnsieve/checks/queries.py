@@ -6,6 +6,7 @@ Results are flat: integers are BIGINT, fractions are rounded, timestamps are tex
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +15,15 @@ from pyspark.sql import types as T
 from ..functions import text as tx
 from ..functions import turns as tn
 from ..functions.keys import natural_key, valid_id
+from ..operators import conversations as cv
 from ..operators import dedup, ordinals, rebuild, render, reports, results, scoring, select, shards
 from ..operators.conversations import assemble_conversations
+from ..plans import config, publish, retry, scan
 from ..plans import prepare as prep
-from ..plans import publish
-from ..schemas import AXES, RESULT
-from ..session import configure, new_folder, written
-from ..sources import adapters, readers, registry, sinks
+from ..plans import rebuild as plan_rebuild
+from ..schemas import AXES, RESULT, SHARED_CHAT
+from ..session import configure, new_folder, settings, written
+from ..sources import adapters, readers, registry, sinks, versions
 from ..streaming import collect as st_collect
 from ..streaming import prepare as st_prepare
 from . import frames as fr
@@ -97,6 +100,13 @@ def assemble_heads(spark, sf_dir):
     return df.select("id", "row_idx", "n_turns", "n_user_turns", "first_user", "first_content", joined().alias("head"))
 
 
+@query
+def conversation_chunks(spark, sf_dir):
+    """Conversations of many turns as ordered rows of a few turns each, with what holds for the whole."""
+    chunks = cv.conversation_chunks(fr.long_chat_turns(spark, sf_dir), chunk_turns=1000)
+    return chunks.withColumn("conversation", joined())
+
+
 @query
 def map_roles(spark, sf_dir):
     df = fr.sender_turns(spark, sf_dir)
@@ -124,7 +134,15 @@ def user_turns_only(spark, sf_dir):
 def fallback_conversation(spark, sf_dir):
     """Question and answer rows, rebuilt from two text columns where they have no turns."""
     df = adapters.qa_with_fallback(fr.question_pairs(spark, sf_dir))
-    return df.select("source", "row_idx", "n_turns", "title", joined().alias("conversation"))
+    df = _with_first_row(df.select("id", "source", "row_idx", "n_turns", "title", joined().alias("conversation")))
+    return df.select("source", "row_idx", "n_turns", "title", "conversation", "key_chars", "first_row")
+
+
+def _with_first_row(df: DataFrame) -> DataFrame:
+    """The length of each row's digest, and the first row that has the same; the digest is made once."""
+    df = written(df, "keys")
+    first = df.groupBy("id").agg(F.min("row_idx").alias("first_row"))
+    return df.join(first, "id").withColumn("key_chars", F.length("id"))
 
 
 def _block_values() -> tuple[Column, T.DataType]:
@@ -316,6 +334,23 @@ def sharegpt_source(spark, sf_dir):
     return _stored(spark, sf_dir, "sharegpt").select("id", *RECORD_COLUMNS, joined().alias("conversation"))
 
 
+@query
+def read_json_array_source(spark, sf_dir):
+    """Conversations stored as one JSON array in one file, read back in parallel byte ranges."""
+    stored = fr.stored_chats(spark, sf_dir, "from", "value").withColumnRenamed("turns", "conversations")
+    numbered = stored.select("row_idx", F.to_json(F.struct("id", "conversations")).alias("json"))
+    ends = stored.agg(F.min("row_idx"), F.max("row_idx")).first()
+    opened = F.when(F.col("row_idx") == ends[0], "[").otherwise(",")
+    closed = F.when(F.col("row_idx") == ends[1], "]").otherwise("")
+    folder = new_folder(spark, "array")
+    lines = numbered.select("row_idx", F.concat(opened, F.col("json"), closed).alias("value"))
+    lines.coalesce(1).sortWithinPartitions("row_idx").select("value").write.text(folder)
+    with settings(spark, spark__sql__files__maxPartitionBytes="64k"):
+        rows = readers.read_json_array(spark, folder, SHARED_CHAT)
+    records = registry.source_records("sharegpt", rows)
+    return records.select("id", *RECORD_COLUMNS, joined().alias("conversation"))
+
+
 @query
 def lmsys_source(spark, sf_dir):
     return _stored(spark, sf_dir, "lmsys").select("id", *RECORD_COLUMNS, joined().alias("conversation"))
@@ -325,9 +360,8 @@ def lmsys_source(spark, sf_dir):
 def qa_site_source(spark, sf_dir):
     """The key is a digest: told by its length and by the first row that has it."""
     df = _stored(spark, sf_dir, "se_law")
-    first = df.groupBy("id").agg(F.min("row_idx").alias("first_row"))
-    return df.join(first, "id").select(
-        *RECORD_COLUMNS, F.length("id").alias("key_chars"), "first_row", joined().alias("conversation")
+    return _with_first_row(df.select("id", *RECORD_COLUMNS, joined().alias("conversation"))).select(
+        *RECORD_COLUMNS, "key_chars", "first_row", "conversation"
     )
 
 
@@ -430,7 +464,8 @@ def dedup_keys(spark, sf_dir):
 @query
 def natural_keys(spark, sf_dir):
     """Length of each text's key, and the first document with the same key."""
-    df = fr.documents(spark, sf_dir).select("doc_id", natural_key(F.col("text")).alias("key"))
+    keyed = fr.documents(spark, sf_dir).select("doc_id", natural_key(F.col("text")).alias("key"))
+    df = written(keyed, "keys")  # a Python key is made once
     first = df.groupBy("key").agg(F.min("doc_id").alias("first_doc"))
     return df.join(first, "key").select("doc_id", F.length("key").alias("key_chars"), "first_doc")
 
@@ -617,6 +652,25 @@ def write_read_shards(spark, sf_dir):
     )
 
 
+@query
+def config_drift(spark, sf_dir):
+    """Shards prepared under two settings in one folder: what each shard holds, and what has drifted.
+
+    The second run is refused at first, since the folder is the first one's, and goes on by force.
+    """
+    folder, other = new_folder(spark, "run"), replace(fr.RUN, model="next-model")
+    uneven = F.substring("shard_id", -1, 1).cast("int") % 2 == 1
+    for run, shards in ((fr.RUN, ~uneven), (other, uneven)):
+        try:
+            config.guard(spark, folder, run)
+        except config.ConfigDrift:
+            config.guard(spark, folder, run, force=True)
+        requests = prep.prepare(fr.document_records(spark, sf_dir), run).where(shards)
+        sinks.write_shards(requests, f"{folder}/shards/{run.model}", lambda df, run=run: prep.request_lines(df, run))
+    parts = [readers.read_shard_requests(spark, f"{folder}/shards/{run.model}") for run in (fr.RUN, other)]
+    return config.drifted_shards(parts[0].unionByName(parts[1]), fr.RUN)
+
+
 # -- scoring and results ------------------------------------------------------------------------
 
 
@@ -705,6 +759,19 @@ def patch_results(spark, sf_dir):
     return results.patch_results(_results(spark, sf_dir), _retried(spark, sf_dir), order=["attempt"])
 
 
+@query
+def patch_shards_on_disk(spark, sf_dir):
+    """Stored results whose changed shards are replaced by a new version, read back as one table."""
+    folder = new_folder(spark, "versions")
+    stored = results.attach_manifest(_results(spark, sf_dir), fr.request_manifest(spark, sf_dir))
+    versions.commit(stored, folder)
+    # the first shard is retried for nothing, so its files stay as they are
+    retry.patch_on_disk(spark, folder, _retried(spark, sf_dir).where("shard_id > '0000'"), order=["attempt"])
+    return versions.read_version(spark, folder).select(
+        "shard_id", "custom_id", "status", *AXES, "reasoning", "input_tokens", "output_tokens"
+    )
+
+
 @query
 def patch_counts(spark, sf_dir):
     return results.patch_counts(_results(spark, sf_dir), _retried(spark, sf_dir))
@@ -757,6 +824,30 @@ def rebuild_prompts(spark, sf_dir):
     return df.withColumn("conversation", joined())
 
 
+@query
+def rebuild_prompts_in_place(spark, sf_dir):
+    """The same from scores and a source that are stored in buckets of their key."""
+    source, scores = new_folder(spark, "source"), new_folder(spark, "scores")
+    name = source.rsplit("-", 1)[-1]
+    kept = sinks.write_keyed(_source(spark, sf_dir), f"source_{name}", source, 8)
+    known = sinks.write_keyed(fr.scores(spark, sf_dir), f"scores_{name}", scores, 8)
+    selected = rebuild.selected_keys(known, ["ord"], conceptual=2, novelty=1, well_formed=2)
+    return rebuild.rebuild_prompts(selected, kept).withColumn("conversation", joined())
+
+
+@query
+def rebuild_source(spark, sf_dir):
+    """Rebuild by a source's name from stored files: its schema and adapter are the registry's."""
+    chats, scores = new_folder(spark, "chats"), new_folder(spark, "scores")
+    stored = fr.stored_chats(spark, sf_dir, "from", "value").withColumnRenamed("turns", "conversations")
+    stored.select("id", "conversations").write.parquet(chats)
+    named = fr.scores(spark, sf_dir).withColumn("key", F.regexp_replace("key", "^doc_", "conv_"))
+    # of rows with one key the last in the file counts
+    named.coalesce(1).sortWithinPartitions("ord").drop("ord").write.parquet(scores)
+    prompts, _ = plan_rebuild.rebuild_source(spark, "sharegpt", scores, chats, 1, 1, 1)
+    return prompts.select("key", "source", *AXES, joined().alias("conversation"))
+
+
 @query
 def rebuild_turns(spark, sf_dir):
     """Rebuild from a long table: the turns of every conversation whose first user text was kept."""
@@ -805,6 +896,16 @@ def browse_window(spark, sf_dir):
     )
 
 
+@query
+def browse_window_deep(spark, sf_dir):
+    """A window that begins at nine tenths of all rows, found by counting ranges of the order."""
+    hits = written(fr.scores(spark, sf_dir).where(F.coalesce("status", F.lit("ok")) == "ok"), "hits")
+    start = hits.count() * 9 // 10
+    return select.browse_window(hits, start=start + 1, rows=20, axis="novelty", ties=["ord"], top_rows=30).select(
+        "ord", "key", *AXES
+    )
+
+
 @query
 def hit_prompts(spark, sf_dir):
     """Prompts of hits; some hits name requests that nobody made."""
@@ -884,6 +985,27 @@ def first_hits(spark, sf_dir):
     return hits.select("doc_id", *AXES)
 
 
+def _scan(spark, sf_dir) -> scan.Scan:
+    """A stretch of the documents, some of whose rows are drawn twice, in two languages."""
+    df = fr.document_records(spark, sf_dir)
+    rows = select.sequential_scan(df, 37, 700, ordinal="row_idx").unionByName(
+        select.sequential_scan(df, 100, 60, ordinal="row_idx")
+    )
+    return scan.scan_and_classify(
+        rows, select.language_in("en,de"), scoring.LexicalScorer(fr.CUES), rebuild.passes(2, 1, 1), fr.PREFIX, fr.SUFFIX
+    )
+
+
+@query
+def scan_and_classify(spark, sf_dir):
+    return _scan(spark, sf_dir).verdicts.select("row_idx", "status", *AXES, "reasoning", "is_hit")
+
+
+@query
+def scan_and_classify_counters(spark, sf_dir):
+    return _scan(spark, sf_dir).counters
+
+
 # -- streams ------------------------------------------------------------------------------------------
 
 
@@ -916,7 +1038,6 @@ def _streamed(spark: SparkSession, sf_dir: str, stream) -> DataFrame:
 
 @query
 def stream_prepare(spark, sf_dir):
-    # which row of a key stays depends on arrival, so the keys are compared
     return _streamed(spark, sf_dir, st_prepare.stream_prepare).select("digest")
 
 
@@ -952,13 +1073,29 @@ def _written_answers(spark: SparkSession, sf_dir: str) -> str:
 def stream_collect(spark, sf_dir):
     answers = _written_answers(spark, sf_dir)
     out, checkpoint = new_folder(spark, "collected"), new_folder(spark, "state")
-    manifest = written(fr.request_manifest(spark, sf_dir), "manifest")
+    stored = new_folder(spark, "manifest")
+    sinks.write_manifest(fr.request_manifest(spark, sf_dir), stored)
+    manifest = readers.read_manifest(spark, stored)
     st_collect.stream_collect(spark, answers, manifest, out, checkpoint).awaitTermination()
     return spark.read.schema(RESULT).parquet(out).select(
         "shard_id", "custom_id", "status", *AXES, "source"
     )
 
 
+@query
+def collect_progress(spark, sf_dir):
+    """Answers collected in two arrivals: one row of counts for each, kept beside the results."""
+    df = fr.answers(spark, sf_dir)
+    answers, out, checkpoint = (new_folder(spark, n) for n in ("answers", "collected", "state"))
+    stored = new_folder(spark, "manifest")
+    sinks.write_manifest(fr.request_manifest(spark, sf_dir), stored)
+    manifest = readers.read_manifest(spark, stored)
+    for later in (False, True):
+        df.where((F.col("shard_id") >= "0004") == later).write.mode("append").json(answers)
+        st_collect.stream_collect(spark, answers, manifest, out, checkpoint).awaitTermination()
+    return st_collect.progress(spark, out)
+
+
 @query
 def stream_watch(spark, sf_dir):
     """Two arrivals, collected by passes until every answer is in."""

@@ -80,6 +80,49 @@ def assemble_conversations(
     )
 
 
+CHUNK_TURNS = 4096
+
+
+def conversation_chunks(
+    turns: DataFrame, key: str = "id", order: str = "turn", chunk_turns: int = CHUNK_TURNS
+) -> DataFrame:
+    """Conversations of any length as ordered rows ``(key, chunk, first_turn, n_turns, conversation, turns_in_all,
+    user_turns_in_all, first_user)``; turns without a key are left out.
+
+    A chunk holds the turns whose numbers lie in one range of ``chunk_turns``, so a conversation with a third of all
+    turns is shared out by ranges, and no task or row holds more of it than a chunk. What chunks have each is added
+    up per conversation over slim rows, one a chunk: the number of turns before it, and what holds for all.
+    """
+    turns = turns.where(F.col(key).isNotNull())
+    asked = (F.col("role") == "user") & (text_or_empty(F.col("content")) != "")
+    cut = turns.withColumn("_range", F.floor(F.col(order) / chunk_turns)).groupBy(key, "_range")
+    chunks = cut.agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct(order, "role", "content"))), lambda t: turn(t["role"], t["content"])
+        ).alias("conversation"),
+        F.count(F.lit(1)).alias("n_turns"),
+    )
+    sizes = cut.agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("role") == "user").alias("_users"),
+        F.min_by("content", F.when(asked, F.col(order))).alias("_asked"),
+    )
+    whole = Window.partitionBy(key).orderBy("_range")
+    everything = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = sizes.select(
+        key,
+        "_range",
+        (F.row_number().over(whole) - 1).cast("bigint").alias("chunk"),
+        F.coalesce(F.sum("_n").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first_turn"),
+        F.sum("_n").over(everything).alias("turns_in_all"),
+        F.sum("_users").over(everything).alias("user_turns_in_all"),
+        text_or_empty(F.first("_asked", ignorenulls=True).over(everything)).alias("first_user"),
+    )
+    return chunks.join(placed, [key, "_range"]).select(
+        key, "chunk", "first_turn", "n_turns", "conversation", "turns_in_all", "user_turns_in_all", "first_user"
+    )
+
+
 def _bounded(
     turns: DataFrame, key: str, carry: Sequence[str], order: str, placed: Sequence[str], head_turns: int
 ) -> DataFrame:

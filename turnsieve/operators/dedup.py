@@ -62,11 +62,14 @@ def keep_first_by_id_then_text(
 ) -> DataFrame:
     """Adapter rule: first per id, then, of what is left, first per non-empty text key.
 
-    A row that loses by id does not claim its text key, so the two steps cannot be merged.
+    A row that loses by id does not claim its text key, so the two steps cannot be merged. Both work on slim rows
+    (scope, id, digest, position); the whole rows are joined by position afterwards, which with the scope must be
+    unique and not null, so they are shuffled once at most. ``df`` is read twice.
     """
-    by_id = keep_first(df, [*scope, "id"], order)
-    keyed = with_text_digest(by_id, prefix=prefix, keep_empty_key=False)
-    return keep_first(keyed, [*scope, "digest"], order)
+    keyed = with_text_digest(df, prefix=prefix)
+    slim = keyed.select(*scope, *order, "id", "digest", has_key(F.col("first_user"), prefix).alias("_keyed"))
+    first = keep_first(keep_first(slim, [*scope, "id"], order).where("_keyed"), [*scope, "digest"], order)
+    return keyed.join(first.select(*scope, *order), [*scope, *order], "left_semi")
 
 
 def keep_first_unseen(

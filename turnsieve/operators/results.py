@@ -160,13 +160,16 @@ def patch_counts(results: DataFrame, retried: DataFrame) -> DataFrame:
     )
 
 
+def shards_to_patch(results: DataFrame, retried: DataFrame) -> DataFrame:
+    """``(shard_id)`` of the shards that a patch changes; reads keys and statuses only."""
+    new = retried.where(F.col("status") == OK).select(*KEYS)
+    failed = results.where(F.col("status") != OK).select(*KEYS)
+    return failed.join(new, [*KEYS], "left_semi").select("shard_id").distinct()
+
+
 def patched_shards(results: DataFrame, retried: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Rows of only those shards that a patch changes, for a partition-wise overwrite."""
-    new = retried.where(F.col("status") == OK).select(*KEYS)
-    changed = results.where(F.col("status") != OK).join(new, [*KEYS], "left_semi")
-    return patch_results(results, retried, order).join(
-        changed.select("shard_id").distinct(), "shard_id", "left_semi"
-    )
+    return patch_results(results, retried, order).join(shards_to_patch(results, retried), "shard_id", "left_semi")
 
 
 def pending_requests(requests: DataFrame, results: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import text_or_empty
 from ..schemas import AXES
@@ -44,15 +45,86 @@ def browse_order(axis: str = "conceptual", ties: Sequence[str] = ("shard_id", "c
     return [*(F.desc(a) for a in axes), *(F.asc(t) for t in ties)]
 
 
+#: Up to here a window is a top-k of its rows and all before it; a task holds so many.
+TOP_ROWS = 50_000
+#: Boundaries that a pass of :func:`ranked_range` tries at most.
+BOUNDARIES = 63
+
+
 def browse_window(
     hits: DataFrame,
     start: int = 1,
     rows: int = 1,
     axis: str = "conceptual",
     ties: Sequence[str] = ("shard_id", "custom_id"),
+    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """Rows from the 1-based ``start``; planned as a top-k, no total sort."""
-    return hits.orderBy(*browse_order(axis, ties)).offset(max(start - 1, 0)).limit(rows)
+    """Rows from the 1-based ``start``; ``ties`` should make the order total.
+
+    A window near the front is planned as a top-k. One that begins further back is found by counting: see
+    :func:`ranked_range`, which runs some narrow passes while the plan is made.
+    """
+    before = max(start - 1, 0)
+    if before + rows > top_rows:
+        hits, before = ranked_range(hits, before, rows, axis, ties, top_rows)
+    return hits.orderBy(*browse_order(axis, ties)).offset(before).limit(rows)
+
+
+def _browse_key(axis: str, ties: Sequence[str]) -> Column:
+    """The browsing order as one struct that grows with it: higher scores first, missing ones last."""
+    axes = [] if axis == "none" else [axis, *(a for a in AXES if a != axis)]
+    parts = [part for a in axes for part in (F.col(a).isNull().alias(f"no_{a}"), (-F.col(a)).alias(a))]
+    return F.struct(*parts, *[F.col(t) for t in ties])
+
+
+def ranked_range(
+    hits: DataFrame,
+    before: int,
+    rows: int,
+    axis: str = "conceptual",
+    ties: Sequence[str] = ("shard_id", "custom_id"),
+    top_rows: int = TOP_ROWS,
+) -> tuple[DataFrame, int]:
+    """A stretch of the order that holds the rows ``before + 1`` to ``before + rows``, and how many of it come before them.
+
+    Each pass draws some boundaries by the hash of the order's columns, counts the rows between them with partial
+    sums, and goes on with the ranges that hold the window, until these have at most ``top_rows`` rows.
+    Passes read the columns of the order alone. Nothing is sorted but the last range. Rows that are equal in all
+    those columns cannot be told apart and stay together.
+    """
+    browse_order(axis, ties)  # refuses unknown axes
+    keyed = hits.withColumn("_key", _browse_key(axis, ties))
+    kind = keyed.schema["_key"].dataType
+    low = high = None
+
+    def stretch() -> DataFrame:
+        part = keyed if low is None else keyed.where(F.col("_key") >= low)
+        return part if high is None else part.where(F.col("_key") < high)
+
+    while True:
+        keys = stretch().select("_key")
+        drawn = keys.orderBy(F.xxhash64("_key"), "_key").limit(BOUNDARIES).distinct().orderBy("_key").collect()
+        bounds = [_literal(r._key, kind) for r in drawn]
+        if not bounds:
+            return stretch().drop("_key"), before
+        bucket = F.size(F.filter(F.array(*bounds), lambda b: b <= F.col("_key")))
+        counts = dict(keys.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1))).collect())
+        first, skipped = 0, 0
+        while first < len(bounds) and skipped + counts.get(first, 0) <= before:
+            skipped += counts.get(first, 0)
+            first += 1
+        last, held = first, counts.get(first, 0)
+        while last < len(bounds) and skipped + held < before + rows:
+            last += 1
+            held += counts.get(last, 0)
+        low, high = bounds[first - 1] if first else low, bounds[last] if last < len(bounds) else high
+        before -= skipped
+        if held <= top_rows or held == sum(counts.values()):
+            return stretch().drop("_key"), before
+
+
+def _literal(key: Sequence, kind: T.StructType) -> Column:
+    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(key, kind, strict=True)])
 
 
 def sequential_scan(
@@ -60,8 +132,8 @@ def sequential_scan(
 ) -> DataFrame:
     """Rows by number; a range filter, so files and row groups outside of it are skipped.
 
-    As many rows as are asked for. An offset below zero or past the last row is refused; the last number
-    is a maximum over one column, which Parquet answers from its footers.
+    As many rows as are asked for; ``SCAN_LIMIT`` is a default only. An offset below zero or past the last row is
+    refused: the last number is a maximum with partial steps over that one column, which runs when this is called.
     """
     last = df.agg(F.max(ordinal)).first()[0]
     if offset < 0 or last is None or offset > last:

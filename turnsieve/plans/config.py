@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from dataclasses import asdict, dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,16 +110,61 @@ def drift(stored: dict, config: RunConfig) -> dict:
 
 
 def guard(spark: SparkSession, folder: str, config: RunConfig, force: bool = False) -> None:
-    """Store the settings of a new run; refuse to go on with a run begun with others."""
+    """Store the settings of a new run; refuse to go on with a run begun with others.
+
+    A new folder is claimed by creating its file of settings, which one of any number of callers can do; the
+    others are held against the winner's.
+    """
     path = f"{folder.rstrip('/')}/config"
-    current = config.frame(spark)
-    if folder_exists(spark, path):
-        row = spark.read.schema(current.schema).json(path).first()
-        changed = drift(row.asDict() if row else {}, config)
-        if changed and not force:
-            raise ConfigDrift(f"settings differ from those of the run in {folder}: {changed}")
-        return
-    current.coalesce(1).write.mode("overwrite").json(path)
+    if not folder_exists(spark, path):
+        settings = json.dumps({**config.values(), "fingerprint": config.fingerprint})
+        if create_once(spark, f"{path}/settings.json", settings):
+            return
+    changed = drift(stored_settings(spark, folder, config), config)
+    if changed and not force:
+        raise ConfigDrift(f"settings differ from those of the run in {folder}: {changed}")
+
+
+def stored_settings(spark: SparkSession, folder: str, config: RunConfig) -> dict:
+    row = spark.read.schema(config.frame(spark).schema).json(f"{folder.rstrip('/')}/config").first()
+    return row.asDict() if row else {}
+
+
+def drifted_shards(lines: DataFrame, config: RunConfig) -> DataFrame:
+    """``(shard_id, fingerprint, n_requests, drifted)`` of stored shard lines: what was prepared under which settings.
+
+    A line without a fingerprint has drifted. Partial counts; requests are not read.
+    """
+    sizes = lines.groupBy("shard_id", "fingerprint").agg(F.count(F.lit(1)).alias("n_requests"))
+    return sizes.withColumn("drifted", ~F.col("fingerprint").eqNullSafe(config.fingerprint))
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with all of its text unless there is one: of any number of callers one gets ``True``.
+
+    The text is written aside and then moved in place, which file systems of clusters refuse if the place is taken. On a
+    local disk a move would replace the file, so there it is linked.
+    """
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    aside = jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(aside)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if files.getScheme() != "file":
+            return not files.exists(place) and files.rename(aside, place)
+        local = jvm.java.nio.file.Paths
+        as_path = [local.get(files.makeQualified(p).toUri()) for p in (place, aside)]
+        jvm.java.nio.file.Files.createLink(*as_path)
+        return True
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    finally:
+        files.delete(aside, False)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:

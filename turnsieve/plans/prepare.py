@@ -33,43 +33,49 @@ CHAT_LOG = Rules(per_file=True, by_id=False)
 ADAPTER = Rules(per_file=False, by_id=True)
 
 
-def survivors(
-    records: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG, seen: DataFrame | None = None
-) -> DataFrame:
-    """Language filter, keep-first, and one bounded body per conversation.
+def in_language_of(records: DataFrame, config: RunConfig) -> DataFrame:
+    """Rows in the language of a run."""
+    if config.stored_languages:
+        records = records.where(stored_as(*config.stored_languages))
+    return records if config.language is None else records.where(language_is(config.language))
+
+
+def rendered(records: DataFrame, config: RunConfig) -> DataFrame:
+    """One bounded body per conversation in the run's language, with its text key and its sizes.
 
-    The body is rendered before the rows are shuffled: it is cut to the caps, so it is smaller than
-    the conversation it stands for. The static prompt text is left out until the requests are written.
-    ``seen`` holds digests that earlier runs have kept; their rows are left out after keep-first, so a
-    hot key is one row in that join.
+    The body is cut to the caps, so it is smaller than the conversation it stands for; the unbounded first user text
+    goes with it. The static prompt text is left out until the requests are written.
     """
-    df = records
-    if config.stored_languages:
-        df = df.where(stored_as(*config.stored_languages))
-    if config.language is not None:
-        df = df.where(language_is(config.language))
+    df = in_language_of(records, config)
     caps = (config.max_turns, config.max_user_chars, config.max_other_chars)
     df = df.withColumn("body", rendered_body(F.col("conversation"), F.col("n_turns"), *caps))
-    # the first user text is unbounded, so its key and its preview stand for it from here on
     df = with_text_digest(df, prefix=config.dedup_prefix).withColumn("_keyed", has_key(F.col("first_user"), config.dedup_prefix))
     df = df.withColumn("first_user_preview", preview(F.col("first_user")))
-    df = df.drop("conversation", "n_user_turns", "first_user")
-    if rules.by_id:
-        df = keep_first(keep_first(df, ["source", "id"]).where("_keyed"), ["source", "digest"])
-    else:
-        df = keep_first(df, ["digest"])
-    if seen is not None:
-        df = df.join(seen.select("digest"), "digest", "left_anti")
     before, after = static_text(config.prefix, config.suffix)
-    return df.select(
-        *[c for c in df.columns if c not in ("first_user_preview", "digest", "_keyed")],
-        "digest",
-        "first_user_preview",
-        (F.length("body") + len(before) + len(after)).cast("bigint").alias("prompt_chars"),
-        prompt_json_chars(F.col("body"), config).cast("bigint").alias("prompt_json_chars"),
+    return df.drop("conversation", "n_user_turns", "first_user").withColumns(
+        {
+            "prompt_chars": (F.length("body") + len(before) + len(after)).cast("bigint"),
+            "prompt_json_chars": prompt_json_chars(F.col("body"), config).cast("bigint"),
+        }
     )
 
 
+def first_rows(df: DataFrame, rules: Rules = CHAT_LOG) -> DataFrame:
+    """Keep-first on slim rows: ids, keys, positions and sizes of rendered rows. No text is shuffled for it."""
+    slim = df.select(*POSITION, "id", "digest", "_keyed", "prompt_json_chars")
+    if rules.by_id:
+        slim = keep_first(keep_first(slim, ["source", "id"]).where("_keyed"), ["source", "digest"])
+    else:
+        slim = keep_first(slim, ["digest"])
+    return slim.select(*POSITION, "id", "prompt_json_chars")
+
+
+def survivors(records: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG) -> DataFrame:
+    """Language filter, keep-first, and one bounded body per conversation: the rendered rows that are first, by position."""
+    df = rendered(records, config)
+    return df.join(first_rows(df, rules).select(*POSITION), POSITION, "left_semi").drop("_keyed")
+
+
 def prompt_json_chars(body: Column, config: RunConfig) -> Column:
     before, after = static_text(config.prefix, config.suffix)
     return ascii_json_length(body) + _json_chars(before) + _json_chars(after)
@@ -123,24 +129,20 @@ def prepare(
 ) -> DataFrame:
     """Requests of one source: position, ordinal, ids, sizes, metadata and the body of the prompt.
 
-    Survivors and their slim numbering are written once and read back, because the packing reads the
-    slim rows more than once and the wide rows are joined to the packing by position. The static
-    prompt text, by far the longer part, is added where a prompt is used, behind the last shuffle:
-    by :func:`request_lines`, by the scorer's task, or by :func:`with_prompt`.
+    Keep-first, numbering and packing work on slim rows, which are written between the steps because each is read more
+    than once. The rendered rows are made a second time and joined to the result by position, so a body is
+    shuffled once, or not at all where the slim side is small enough for Spark to broadcast it. ``records`` is read
+    twice and must give the same rows at the same positions again. The static prompt text, by far the
+    longer part, is added where a prompt is used, behind the last shuffle: by :func:`request_lines`, by the
+    scorer's task, or by :func:`with_prompt`.
     """
-    return requests_of(written(survivors(records, config, rules), "survivors"), config, rules, block_rows)
-
-
-def requests_of(
-    first: DataFrame, config: RunConfig, rules: Rules = CHAT_LOG, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Requests of survivors that have been written."""
-    slim = written(numbered(first, config, rules), "numbered")
-    plan = packed(slim, config, rules, block_rows)
+    df = rendered(records, config)
+    first = written(first_rows(df, rules), "first-rows")
+    plan = packed(written(numbered(first, config, rules), "numbered"), config, rules, block_rows)
     return (
-        first.join(plan, POSITION)
+        df.join(plan, POSITION)
         .withColumn("fingerprint", F.lit(config.fingerprint))
-        .drop("prompt_json_chars", "digest")
+        .drop("prompt_json_chars", "digest", "_keyed")
     )
 
 

@@ -24,6 +24,8 @@ BLOCKS = T.ArrayType(_struct(("type", _S), ("text", _S)))
 
 # -- sources ---------------------------------------------------------------------------------
 
+# Column names and types of the public tables that are read, as those have them.
+
 CHAT_LOG = _struct(
     ("conversation_hash", _S),
     ("model", _S),

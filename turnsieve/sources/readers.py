@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .json_array import read_json_array  # noqa: F401
 
 
 _SLASHES = "^[A-Za-z][A-Za-z0-9+.-]*:/+"
@@ -51,18 +52,8 @@ def with_positions(df: DataFrame, file_number: str = r"^[^0-9]*(\d+)") -> DataFr
 def _share_a_number(files: list[str], file_number: str) -> bool:
     """Reads only the list of files that the driver has made for the scan."""
     found = [re.search(file_number, unquote(path.rsplit("/", 1)[-1])) for path in files]
-    return len({int(f.group(1)) if f else 0 for f in found}) < len(files)
-
-
-def read_json_array(
-    spark: SparkSession, path: str, schema: T.StructType, parquet_path: str | None = None
-) -> DataFrame:
-    """A file that is one JSON array. Such a file cannot be split, so convert it to Parquet once."""
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
-    if parquet_path is None:
-        return df
-    df.write.mode("overwrite").parquet(parquet_path)
-    return spark.read.schema(schema).parquet(parquet_path)
+    numbers = [int(f.group(1)) if f else 0 for f in found]
+    return len({*numbers}) < len(files) or max(numbers, default=0) >= 1 << 63  # too long for a BIGINT
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,6 +74,12 @@ def read_results(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.RESULT).json(folder).select(*schemas.RESULT.fieldNames())
 
 
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata stored by :func:`turnsieve.sources.sinks.write_manifest`."""
+    keys = [T.StructField("shard_id", T.StringType()), T.StructField("custom_id", T.StringType())]
+    return spark.read.schema(T.StructType([*keys, *schemas.MANIFEST.fields])).parquet(folder)
+
+
 def read_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Score tables, cast to the types of :data:`turnsieve.schemas.SCORE` where files differ."""
     df = spark.read.parquet(folder)

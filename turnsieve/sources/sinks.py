@@ -40,12 +40,34 @@ def write_results(results: DataFrame, folder: str, mode: str = "overwrite") -> N
     writer.partitionBy("_shard").json(folder)
 
 
+def write_manifest(manifest: DataFrame, folder: str) -> None:
+    """Metadata of requests by shard, so that a reader who names shards opens theirs only."""
+    manifest.repartition("shard_id").write.mode("overwrite").partitionBy("shard_id").parquet(folder)
+
+
 def write_scores(scores: DataFrame, folder: str) -> None:
     """Score tables by source. Rebalanced rather than repartitioned: a source that holds most rows is
     split over many tasks, and small ones share a task."""
     scores.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").parquet(folder)
 
 
+def write_keyed(df: DataFrame, name: str, folder: str, buckets: int, key: str = "key") -> DataFrame:
+    """A table dealt into buckets by its key, under ``folder``; joins and groups by the key need no shuffle.
+
+    Where neither scores nor the keys of a source are small enough to broadcast, both are stored so, with one number
+    of buckets, and every rebuild joins them in place.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", folder)
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def rebuilt_name(source: str, conceptual: int, novelty: int, well_formed: int) -> str:
     return f"{source}_c{conceptual}n{novelty}w{well_formed}"
 
