@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -86,7 +88,7 @@ def test_a_graph_that_cannot_be_walked_is_compared_whole(spark):
         assert set(torn.linked(x[i], i, 0, 0.93)) == set(np.flatnonzero(x @ x[i] >= 0.93))
 
 
-def test_no_join_by_the_label_alone(spark):
+def test_queries_meet_graphs_by_shard_and_part(spark):
     df = spark.createDataFrame([(*r, 0, "other") for r in vectors(60, 3)], KINDS)
     groups = []
     write = embeddings.written
@@ -101,4 +103,5 @@ def test_no_join_by_the_label_alone(spark):
         embeddings.near_duplicates(df, shard=20, block=5).collect()
     finally:
         embeddings.written = write
-    assert "FlatMapCoGroups" in groups[0] and "Join" not in groups[0]
+    assert "FlatMapCoGroups" in groups[0]
+    assert len(re.findall(r"hashpartitioning\(label#\d+, dim#\d+, shard#\d+, part#\d+", groups[0])) == 2
