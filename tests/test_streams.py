@@ -119,6 +119,14 @@ def test_keys_out_of_order_are_kept_once(spark, tmp_path):
     assert kept == {(5, 0), (5, 1), (0, 0), (0, 1), (0, 2)}
 
 
+def test_a_batch_without_new_keys(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    for texts in (["a", "b"], ["B ", "a"], ["c"]):
+        arrive(spark, folder, len(list(folder.glob("*.parquet"))) if folder.exists() else 0, texts)
+        prepare.stream_prepare_exact(spark, str(folder), schema(spark), lambda d: d, out, state).awaitTermination()
+    assert sorted((r.file_idx, r.row_idx) for r in spark.read.parquet(out).collect()) == [(0, 0), (0, 1), (2, 0)]
+
+
 def test_the_session_keeps_its_settings(spark, tmp_path):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)

@@ -195,6 +195,7 @@ oracle(
               (row_number() OVER (PARTITION BY lang ORDER BY doc_id)) - 1 AS ordinal
        FROM documents""",
 )
+oracle("scan_appended_folder", "SELECT doc_id, lang, 1::BIGINT AS n_rows FROM documents")
 _SHOWN = "string_agg(role || ': ' || content, chr(10) ORDER BY turn)"
 _LONG = """
     SELECT 'long_' || conv_id // 10 AS id, conv_id // 10 AS row_idx, 1000 * (conv_id % 10) + turn AS turn, role,

@@ -100,6 +100,18 @@ def assemble_heads(spark, sf_dir):
     return df.select("id", "row_idx", "n_turns", "n_user_turns", "first_user", "first_content", joined().alias("head"))
 
 
+@query
+def scan_appended_folder(spark, sf_dir):
+    """Positions in a folder that was written in two goes and is partitioned: files share their numbers, rows no position."""
+    folder, df = new_folder(spark, "appended"), fr.documents(spark, sf_dir)
+    for rest in (0, 1):
+        df.where(F.col("doc_id") % 2 == rest).write.mode("append").partitionBy("lang").parquet(folder)
+    placed = readers.with_positions(readers.read_parquet(spark, folder))
+    return placed.groupBy("file_idx", "row_idx").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("doc_id").alias("doc_id"), F.min("lang").alias("lang")
+    ).select("doc_id", "lang", "n_rows")
+
+
 @query
 def conversation_chunks(spark, sf_dir):
     """Conversations of many turns as ordered rows of a few turns each, with what holds for the whole."""
