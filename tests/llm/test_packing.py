@@ -75,3 +75,35 @@ def test_window_count_rises():
 
 def test_empty(spark):
     assert packing.pack(nothing(spark)).collect() == []
+
+
+def least_largest(sizes, k):
+    """The smallest possible largest sum of ``k`` windows: every assignment but for the windows' names."""
+    best = sum(sizes)
+
+    def place(i, sums):
+        nonlocal best
+        if i == len(sizes):
+            best = min(best, max(sums))
+            return
+        for j in sorted({s: j for j, s in enumerate(sums)}.values()):
+            if sums[j] + sizes[i] < best:
+                place(i + 1, [*sums[:j], sums[j] + sizes[i], *sums[j + 1 :]])
+
+    place(0, [0] * k)
+    return best
+
+
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_differencing_against_every_partition(k):
+    """Each piece is in one window, and the largest window stays within the method's bound of four thirds of the best."""
+    rng = np.random.default_rng(k)
+    exact = 0
+    for _ in range(60):
+        sizes = rng.integers(1, 500, rng.integers(1, 10)).tolist()
+        windows = packing.differencing(sizes, k)
+        assert sorted(i for w in windows for i in w) == list(range(len(sizes))) and len(windows) <= k
+        largest, best = max(sum(sizes[i] for i in w) for w in windows), least_largest(sizes, k)
+        assert best <= largest <= 4 / 3 * best
+        exact += largest == best
+    assert exact > 30

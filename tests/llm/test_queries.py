@@ -103,6 +103,8 @@ def test_op4(spark, texts):
         groups[texts[r.doc_id]].add(r.shard)
     assert set(shards) <= set(range(16)) and all(sorted(s) == list(range(len(s))) for s in shards.values())
     assert all(len(g) == 1 for g in groups.values())
+    loads = [sum(r.size for r in found if r.shard == s) for s in range(16)]
+    assert max(loads) - min(loads) <= 0.02 * np.mean(loads)  # no text here is larger than a fraction of a shard
 
 
 def test_op5(spark, duck):
