@@ -142,7 +142,8 @@ def pack(
     """Pieces: ``(id, start, length, ids, doc_tokens, sequence_id, offset)``.
 
     ``ids`` holds the piece's token ids, four little-endian bytes each. A null text counts as empty and
-    has the end id alone; null and repeated ids are packed like others. Other columns are left out.
+    has the end id alone; null and repeated ids are packed like others. A text of any length is cut into as many pieces
+    as it needs. Other columns are left out, whatever their names; an empty table gives no rows.
     """
     room = windows * capacity - slack
 

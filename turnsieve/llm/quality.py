@@ -153,7 +153,11 @@ def fit(
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1 in a column ``name``, in place of one of that name. Null texts count as empty."""
+    """``docs`` with the probability of label 1 in a column ``name``, in place of one of that name.
+
+    Null texts count as empty, and empty ones are scored like any other. Null ids and repeated rows stay, texts of any
+    length are read whole, an empty table gives no rows.
+    """
     docs = docs.drop(name)
     at = docs.columns.index(text_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -147,7 +147,8 @@ def shards(
 
     A size is the text's UTF-8 bytes and one more. Null texts count as empty and form a group with the empty
     ones. ``slot`` numbers a shard's rows from 0; rows that are alike in all of id, size and text take
-    whichever of their slots.
+    whichever of their slots. Null and repeated ids and rows stay; a text longer than a shard's share has a shard as large
+    as it is; other columns are left out, whatever their names; an empty table gives no rows.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

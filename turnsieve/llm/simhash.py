@@ -226,7 +226,8 @@ def near_duplicates(
     """``(id, fp, component)`` per row of ``docs``; the component is the smallest id reachable by links.
 
     Rows with a null id have a fingerprint and their component's smallest other id (null if there is
-    none). Repeated rows stay repeated. Other columns are left out, whatever their names.
+    none). Repeated rows stay repeated. Texts of any length are counted whole, in blocks of shingles. Other columns are
+    left out, whatever their names; an empty table gives no rows.
     """
     prints = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))

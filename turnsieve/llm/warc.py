@@ -273,7 +273,12 @@ def with_references(records: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """Pages as ARC files, converted to WARC files and read back: rows of ``WARC_ROW`` with ``refers_to``."""
+    """Pages as ARC files, converted to WARC files and read back: rows of ``WARC_ROW`` with ``refers_to``.
+
+    Ids are BIGINT (others are cast); null ids and repeated rows stay. Null payloads are empty, payloads of any length
+    are whole. Of equal ids with equal payloads one is the response. Other columns are left out, whatever
+    their names; an empty table gives no rows.
+    """
     spark = pages.sparkSession
     arc, warc = new_folder(spark, "arc"), new_folder(spark, "warc")
     write_arc(pages, arc)
