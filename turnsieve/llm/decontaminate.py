@@ -6,9 +6,9 @@ the shared folder, so postings are never shuffled, and a frequent word is spread
 
 The items' windows are the query set. They are searched in blocks of at most ``BLOCK_WINDOWS`` windows,
 which bounds what is sent to every task. In a segment a window whose terms are not all there is dropped
-at once; for the others the lists are intersected, shifted by the term's place in the window, from the
-shortest list on. The places that are left are exact phrases. Proximity matches have all terms of a window
-within ``NEAR`` words of its rarest one, in any order.
+at once; for the others the lists are intersected from the shortest on: first places of the rarest term that
+have every other term near, then, shifted by the terms' places in the window, those that start an exact phrase.
+Proximity matches have all terms of a window within ``NEAR`` words of its rarest one, in any order.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -126,6 +127,7 @@ class _Lists:
         self.sizes, self.gaps = sizes, np.frombuffer(places, dtype="<i4")
         self.ends = np.cumsum(sizes, dtype=np.int64)
         self.known: dict[int, np.ndarray] = {}
+        self.pairs: dict[tuple[int, int, int], np.ndarray] = {}
 
     def __call__(self, term: int) -> np.ndarray:
         if term not in self.known:
@@ -134,28 +136,42 @@ class _Lists:
         return self.known[term]
 
 
-def _phrases(lists: _Lists, terms: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Starts at which all terms stand one after the other."""
-    at = lists(terms[order[0]]) - order[0]
-    for o in order[1:]:
-        places = lists(terms[o])
-        want = at + o
-        found = np.minimum(np.searchsorted(places, want), len(places) - 1)
-        at = at[places[found] == want]
+    def near(self, at: np.ndarray, term: int, width: int) -> np.ndarray:
+        """Those of some places that have the term within ``width`` words."""
+        places = self(term)
+        found = np.minimum(np.searchsorted(places, at - width), len(places) - 1)
+        return at[np.abs(places[found] - at) <= width]
+
+    def pair(self, rare: int, term: int, width: int) -> np.ndarray:
+        """Places of one term that have another near; windows that overlap ask for the same pairs."""
+        key = (rare, term, width)
+        if key not in self.pairs:
+            self.pairs[key] = self.near(self(rare), term, width)
+        return self.pairs[key]
+
+
+def _close(lists: _Lists, terms: np.ndarray, order: list[int], width: int) -> np.ndarray:
+    """Places of the rarest term that have every other term within ``width`` words; the rarest two are met first."""
+    if len(order) == 1:
+        return lists(terms[order[0]])
+    at = lists.pair(int(terms[order[0]]), int(terms[order[1]]), width)
+    for o in order[2:]:
         if not len(at):
             break
+        at = lists.near(at, terms[o], width)
     return at
 
 
-def _near(lists: _Lists, terms: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
-    """Places of the rarest term that have every other term within ``width`` words."""
-    at = lists(terms[order[0]])
+def _phrases(lists: _Lists, terms: np.ndarray, order: list[int], at: np.ndarray) -> np.ndarray:
+    """Starts at which all terms stand one after the other; ``at`` are places of the rarest that may be in one."""
+    at = at - order[0]
     for o in order[1:]:
-        places = lists(terms[o])
-        found = np.minimum(np.searchsorted(places, at - width), len(places) - 1)
-        at = at[np.abs(places[found] - at) <= width]
         if not len(at):
             break
+        places = lists(terms[o])
+        want = at + o
+        found = np.minimum(np.searchsorted(places, want), len(places) - 1)
+        at = at[places[found] == want]
     return at
 
 
@@ -203,22 +219,31 @@ def _search_block(index: DataFrame, block: list, item: DataFrame, near: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, matrix, items = sent.value
+        asked = pa.array(terms, pa.string())
         for batch in batches:
             for i in range(batch.num_rows):
                 segment, lengths, vocabulary, sizes, places = (batch.column(c)[i] for c in range(5))
-                local = {w: j for j, w in enumerate(vocabulary.values.to_pylist())}
-                ids = np.array([local.get(w, -1) for w in terms] + [-2], dtype=np.int64)[matrix]
+                local = pc.index_in(asked, value_set=vocabulary.values).fill_null(-1).to_numpy(zero_copy_only=False)
+                ids = np.r_[local, -2].astype(np.int64)[matrix]  # -1: not in the segment, -2: behind a short window
                 n = lengths.values.to_numpy(zero_copy_only=False).astype(np.int64)
                 starts = np.cumsum(n) - n + np.arange(len(n)) * GAP
                 lists = _Lists(sizes.values.to_numpy(zero_copy_only=False), places.as_py())
                 found: dict[tuple, list] = {}
-                for w in np.flatnonzero((ids != -1).all(axis=1)):
-                    window = ids[w][ids[w] >= 0]
-                    order = np.argsort(lists.sizes[window], kind="stable")
-                    at = _phrases(lists, window, order)
+                there = np.flatnonzero((ids != -1).all(axis=1))
+                sizes_of = lists.sizes.astype(np.int64)[ids[there]]
+                rarest = np.argsort(np.where(ids[there] >= 0, sizes_of, np.iinfo(np.int64).max), axis=1, kind="stable")
+                for w, ranked, size in zip(there.tolist(), rarest, (ids[there] >= 0).sum(axis=1).tolist(), strict=True):
+                    window, order = ids[w, :size], ranked[:size].tolist()
+                    # a phrase has all its terms near the rarest, so places without them are dropped for both
+                    within = max(near, len(window) - 1)
+                    close = _close(lists, window, order, within)
+                    if not len(close):
+                        continue
+                    at = _phrases(lists, window, order, close)
                     if len(at):
                         found.setdefault((items[w], "phrase"), []).append((at, at + len(window)))
-                    close = _near(lists, window, order, near)
+                    if within > near:
+                        close = _close(lists, window, order, near)
                     close = close[~np.isin(close - order[0], at)]
                     if len(close):
                         found.setdefault((items[w], "near"), []).append((close, close + 1))
