@@ -90,7 +90,12 @@ def stream_first(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     seen = first_seen(keyed(to_records(reader.parquet(folder))), order)
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=state_store):
+    with settings(
+        spark,
+        spark__sql__streaming__stateStore__providerClass=state_store,
+        # a batch saves what it changed, not a copy of the store
+        spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+    ):
         return (
             seen.writeStream.outputMode("update")
             .foreachBatch(step)
