@@ -1,8 +1,9 @@
+import pyarrow.parquet as pq
 import pytest
 
 from turnsieve.llm import decontaminate
 
-from .fixtures import documents, nothing, prose, words
+from .fixtures import documents, nothing, on_disk, prose, words
 
 ITEMS = "item_id bigint, text string"
 
@@ -83,3 +84,11 @@ def test_blocks_follow_each_other(spark, monkeypatch):
     found = decontaminate.decontaminate(df, items(spark, rows), block_windows=1).collect()
     assert len(order) >= 40 and order == ["collected", "written"] * (len(order) // 2)
     assert sorted(((r.id, r.n_words, r.n_hit, r["items"]) for r in found), key=str) == plain(docs, rows)
+
+
+def test_index_files_open_few_segments_at_once(spark, tmp_path):
+    docs = spark.createDataFrame([(i, prose(400, i)) for i in range(12)], "doc_id bigint, text string").coalesce(1)
+    index = decontaminate.build_index(on_disk(docs, tmp_path / "docs"), segment_words=400)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 12 and max(g.num_rows for g in groups) == 2

@@ -54,6 +54,15 @@ def test_plan_has_no_python(spark, tmp_path):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoop"))
 
 
+def test_no_python_rows(spark, tmp_path):
+    """A frame made of rows on the driver is read through Python workers, even one without rows."""
+    for name, df in (("docs", documents(spark)), ("none", nothing(spark))):
+        df = on_disk(df, tmp_path / name)
+        for found in (linededup.deduplicate_lines(df), linededup.repeated_runs(df)):
+            assert "RDD" not in found._jdf.queryExecution().toString()
+        assert dict(found.dtypes) == {"id": "bigint", "line": "int", "n": "bigint", "first_id": "bigint", "first_line": "int"}
+
+
 def test_empty(spark):
     assert linededup.deduplicate_lines(nothing(spark)).collect() == []
 

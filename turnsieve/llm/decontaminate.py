@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import written
+from ..session import written, written_large
 from .common import ascii_words
 
 WINDOW, NEAR = 10, 10
@@ -94,7 +94,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = dict(slim.dtypes)["id"]
     index = slim.mapInArrow(run, f"ids array<{kind}>, lengths array<int>, terms array<string>, sizes array<int>, places binary")
-    return written(index.select(F.monotonically_increasing_id().alias("segment"), "*"), "index")
+    return written_large(index.select(F.monotonically_increasing_id().alias("segment"), "*"), "index")
 
 
 def documents_of(index: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ a line's copies.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,18 +155,17 @@ def _without(text: Column, gone: Column) -> Column:
 
 def _later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     """All runs of ``min_words`` words or little more that have an earlier copy, with the first one."""
-    spark = lines.sparkSession
     ranks = _suffixes(lines)
     runs = written(_runs(ranks, min_words), "runs")
-    longest = runs.agg(F.max("n")).first()[0] or 0
+    longest = runs.agg(F.max("n")).first()[0] or 1  # without runs one empty part
     half = 1
-    later = spark.createDataFrame([], "doc bigint, pos int, n bigint, first_doc bigint, first_pos int")
+    later = []
     while half <= longest:
-        later = later.unionByName(written(_later(ranks, runs, half), "later"))
+        later.append(written(_later(ranks, runs, half), "later"))
         if 2 * half <= longest:
             ranks = _doubled(ranks, half)
         half *= 2
-    return later
+    return reduce(DataFrame.unionByName, later).withColumn("n", F.col("n").cast("bigint"))
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

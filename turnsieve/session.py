@@ -27,6 +27,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Bytes of rows that are sent to a Python worker at once.
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Bound the bytes of an Arrow batch on a session whose caller has not done so. Spark's own bound is 64 MB.
+
+    A batch is held several times over (in the JVM's buffers, in the pipe, by the worker and again as its answer), and
+    neither the JVM nor a worker that is used again gives all of that back. The setting is read when a plan runs, so it
+    stays on the session. Rows and their order stay as they are; a row above the bound is a batch of its own.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(size))
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str) -> Iterator[None]:
     """Settings for what is started inside; names have two underscores for a dot. The old values come back."""
@@ -61,18 +77,27 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` once and read it back.
+def written(df: DataFrame, name: str, path: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` once, with the writer's ``options``, and read it back.
 
     Cuts the lineage with files that outlive any executor. Used where a costly frame is read by
     several branches of a plan (survivors of the de-duplication, scorer answers).
     """
     spark = df.sparkSession
     path = path or new_folder(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_large(df: DataFrame, name: str) -> DataFrame:
+    """:func:`written` for rows of megabytes: two in a row group, each with pages of its own.
+
+    Parquet's writer would gather a hundred rows before it looks at their size, and its reader opens a group at once.
+    """
+    check = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+    return written(df, name, options={"parquet.block.row.count.limit": "2", **check})
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder that no later step reads."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
