@@ -11,7 +11,7 @@ from turnsieve.llm.common import table
 from turnsieve.session import BATCH_BYTES
 
 from ..conftest import SMALL
-from .fixtures import documents, nothing, on_disk
+from .fixtures import SCHEMA, documents, nothing, on_disk, prose
 from .test_decontaminate import plain as plain_hits
 from .test_linededup import plain as plain_lines
 from .test_queries import check_pieces
@@ -66,6 +66,14 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     assert len(toxic & kept) < 0.1 * len(toxic) and len(clean - kept) < 0.01 * len(clean)
 
 
+def test_items_without_an_id_count(spark, tmp_path):
+    items = spark.createDataFrame([(None, prose(12, 1)), (None, prose(12, 2)), (3, prose(12, 3))], "item_id bigint, text string")
+    on_disk(items, tmp_path / "benchmark.parquet")
+    rows = [(i, prose(5, 10 + i) + " " + prose(12, i), "en", "s", 1) for i in range(1, 5)]
+    docs = on_disk(spark.createDataFrame(rows, SCHEMA), tmp_path / "docs")
+    assert [r.doc_id for r in STAGES["decontaminate"](spark, docs, str(tmp_path)).collect()] == [4]
+
+
 @pytest.mark.parametrize("make", ["awkward", "empty"])
 def test_awkward_rows(spark, tmp_path, make):
     docs = on_disk(documents(spark, clashing=True) if make == "awkward" else nothing(spark), tmp_path / "docs")

@@ -2,6 +2,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from turnsieve.llm import toxicity
 
@@ -94,6 +95,27 @@ def test_labels_are_bounded_and_cleaned(spark):
     assert toxicity.labelled(docs, labels, "toxic", 500, "doc_id", "text").count() == 240
 
 
+def test_all_labelled_rows_are_learnt_from(spark):
+    """Each rare word is in five toxic texts of 40,000 labelled ones: the least a feature needs."""
+    rare = [f"{c}rare" for c in "abcdefghijklmnopqrst"]
+    word = F.element_at(F.array(*map(F.lit, rare)), (F.floor(F.col("id") / 400) % 20 + 1).cast("int"))
+    text = F.when(F.col("id") % 400 == 1, F.concat(F.lit("plain text "), word)).otherwise("plain text")
+    rows = spark.range(0, 40_000, 1, 3).select(F.col("id").alias("doc_id"), text.alias("text"), (F.col("id") % 2).cast("int").alias("toxic"))
+    model = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert set(rare) <= set(model.weights)
+
+
+def test_labelled_words(spark, model):
+    """Words of every labelled row: repeated ids, labels of another type, null ids, texts and labels."""
+    texts = [(i % 900, f"text number {'ab' * (i % 7)} {'cd' * (i % 11)}" if i % 13 else None) for i in range(1000)] + [(None, "without id")]
+    marks = [(i, i % 3) for i in range(0, 1200, 2)] + [(4, 5), (6, None), (None, 1)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame(marks, "doc_id int, toxic bigint")
+    found = toxicity.labelled_words(docs, labels, "toxic", model.language, "doc_id", "text").collect()
+    y = {i: i % 3 for i in range(0, 1200, 2)} | {4: 5}
+    assert sorted((r.y, sorted(r.words.split())) for r in found) == sorted((y[i], sorted(set((t or "").split()))) for i, t in texts if i in y)
+
+
 def readings(restorer, token):
     """Every path of the lattice by itself: its cost and its letters."""
     paths = [(0.0, "")]

@@ -14,9 +14,8 @@ without such a place is decided at its end.
 
 What is toxic is learnt from labelled texts: words and word beginnings that occur far more often under
 label 1. A text's evidence (its strongest feature, how many different words carry one) goes through a
-logistic fit. At most ``SAMPLE`` labelled rows (those with the smallest hash of their id) and at most
-``FEATURES`` features are used; both are bounds on the classifier only, every text is restored and scored
-whole.
+logistic fit. All labelled rows are learnt from: their words are counted, and the fit's sums made, where they lie.
+At most ``FEATURES`` features are used, a bound on the classifier only; every text is restored and scored whole.
 """
 
 from __future__ import annotations
@@ -24,18 +23,22 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from ..session import written
+from ..session import new_folder, remove, written
 
-SAMPLE, FEATURES, SUPPORT, EVIDENCE = 30_000, 20_000, 5, 2.0
+FEATURES, SUPPORT, EVIDENCE = 20_000, 5, 2.0
 BEGINNINGS = (4, 5, 6)
+#: Features that a task counts before it hands them on.
+COUNTED = 100_000
+#: Logarithms of how many bits tell labelled ids apart: of a chunk of them, and of all at most (8 MB).
+CHUNK, MARKS = 15, 26
 
 #: Letters the language model tells apart; others share the last code, 0 is a word's edge.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáãåæçèéêëìíîïñòóôöõøœùúûüýÿß"
@@ -253,18 +256,34 @@ class Evidence(dict):
         self[word] = best
         return best
 
-    def of(self, words: set[str]) -> list[float]:
-        """Constant, strongest feature, and how many words have one, in logarithms of the text's size too."""
+    def of(self, words: Collection[str]) -> list[float]:
+        """Of different words: constant, strongest feature, and how many words have one, in logarithms of the text's size too."""
         hits = [e for e in map(self.__getitem__, words) if e]
         return [1.0, max(hits, default=0.0), math.log1p(len(hits)), math.log1p(sum(hits)), math.log1p(len(words))]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    w = np.zeros(x.shape[1])
+def _logistic(rows: DataFrame, ridge: float = 1.0) -> np.ndarray:
+    """Weights of ``(y, x)`` by Newton's method. Every step sums slopes and curvatures over all rows, one pair a task."""
+    size = len(Evidence({}).of(set()))
+    w = np.zeros(size)
+
+    def sums(w: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            grad, hess = np.zeros(size), np.zeros((size, size))
+            for batch in batches:
+                y = batch.column(0).to_numpy() > 0
+                x = batch.column(1).flatten().to_numpy().reshape(-1, size)
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                grad += x.T @ (p - y)
+                hess += (x * (p * (1 - p))[:, None]).T @ x
+            yield pa.record_batch([pa.array([grad]), pa.array([hess.ravel()])], names=["grad", "hess"])
+
+        return rows.select("y", "x").mapInArrow(run, "grad array<double>, hess array<double>").collect()
+
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + ridge * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        parts = sums(w)
+        grad = np.sum([r.grad for r in parts], axis=0) + ridge * w
+        hess = np.sum([r.hess for r in parts], axis=0).reshape(size, size) + ridge * np.eye(size)
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -288,47 +307,88 @@ class Model:
         return score
 
 
+def _judged(labels: DataFrame, label: str, id_col: str) -> DataFrame:
+    """``(_id, _y)``: one label for an id, the larger of several. Null ids and labels are left out."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull())
+    return known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col: str, text_col: str) -> DataFrame:
     """``(y, text)`` of at most ``sample`` labelled rows: one label for an id, those with the smallest hash."""
-    few = (
-        labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull())
-        .groupBy(id_col)
-        .agg(F.max(label).alias("_y"))
-        .orderBy(F.xxhash64(F.col(id_col)), id_col)
-        .limit(sample)
-        .select(F.col(id_col).alias("_id"), F.col("_y").cast("int"))
-    )
+    few = _judged(labels, label, id_col).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     known = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     # at most `sample` pairs of numbers
     return written(known.join(F.broadcast(few), "_id").select(F.col("_y").alias("y"), "text"), "labelled")
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample: int = SAMPLE
-) -> Model:
-    """Learn from the rows of ``labels`` that belong to ``docs``. Without labels of both kinds every score is 0.
+def _marks(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit at the hash of each of the ids in ``_id``, and the logarithm of how many bits there are."""
+    log = min(max((16 * ids.count()).bit_length(), CHUNK), MARKS)
+    place = ids.select(_place("_id", log).alias("place"))
+    chunk, bit = F.shiftright("place", CHUNK).alias("chunk"), F.col("place") % (1 << CHUNK)
+    marks = np.zeros((1 << (log - CHUNK), 1 << (CHUNK - 3)), dtype=np.uint8)
+    for r in place.groupBy(chunk).agg(F.bitmap_construct_agg(bit).alias("bits")).collect():  # a row for each chunk at most
+        marks[r.chunk] = np.frombuffer(r.bits, dtype=np.uint8)
+    return marks.ravel(), log
+
+
+def _place(id_col: str, log: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << log))
+
+
+def labelled_words(docs: DataFrame, labels: DataFrame, label: str, language: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+    """``(y, words)`` of all labelled rows: the different words with the restored ones, as one string; one label for an id.
+
+    No text is shuffled, words are, by a merge join at any size. Bits at the hashes of the labelled ids tell the tasks which texts to read: those of all labelled
+    rows and of a few others (more of them above some millions of labels), which the join on the id leaves out.
+    """
+    ids = docs.select(F.col(id_col).alias("_id")).distinct()
+    known = written(ids.join(_judged(labels, label, id_col), "_id").select("_id", F.col("_y").alias("y")), "labelled")
+    marks, log = _marks(known)
+    sent = docs.sparkSession.sparkContext.broadcast((language, marks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        language, marks = sent.value
+        restorer = Restorer(language)
+        for batch in batches:
+            place = batch.column(1).to_numpy()
+            some = batch.filter(pa.array((marks[place >> 3] >> (place & 7) & 1).astype(bool)))
+            for part in range(0, some.num_rows, 256):
+                rows = some.slice(part, 256)
+                words = [" ".join(words_of(t.as_py() or "", restorer)) for t in rows.column(2)]
+                yield pa.record_batch([rows.column(0), pa.array(words, pa.string())], names=["_id", "words"])
+
+    slim = docs.select(F.col(id_col).alias("_id"), _place(id_col, log).alias("place"), F.col(text_col).cast("string").alias("text"))
+    found = slim.mapInArrow(run, f"_id {dict(slim.dtypes)['_id']}, words string")
+    return found.join(known.hint("merge"), "_id").select("y", "words")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> Model:
+    """Learn from all rows of ``labels`` that belong to ``docs``. Without labels of both kinds every score is 0.
 
     Null ids and labels are left out, of several labels for an id the larger counts. A repeated document is an example
     again. Empty tables are no labels.
     """
     language = language_model(character_counts(docs, text_col))
-    known = labelled(docs, labels, label, sample, id_col, text_col)
+    path = new_folder(docs.sparkSession, "words")
+    known = written(labelled_words(docs, labels, label, language, id_col, text_col), "words", path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, seen = Restorer(language), (Counter(), Counter())
+        seen = (Counter(), Counter())
+
+        def tables() -> Iterator[pa.RecordBatch]:
+            for kind, counter in enumerate(seen):
+                counts, none = pa.array(counter.values(), pa.int64()), pa.array([0] * len(counter), pa.int64())
+                columns = [none, counts] if kind == 0 else [counts, none]
+                yield pa.record_batch([pa.array(counter, pa.string()), *columns], names=["feature", "pos", "neg"])
+                counter.clear()
+
         for batch in batches:
-            for y, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                seen[y > 0].update({f for w in words_of(text.as_py() or "", restorer) for f in features_of(w)})
-        names = list(seen[1])
-        yield pa.record_batch(
-            [pa.array(names, pa.string()), pa.array([seen[1][f] for f in names], pa.int64()), pa.array([0] * len(names), pa.int64())],
-            names=["feature", "pos", "neg"],
-        )
-        names = list(seen[0])
-        yield pa.record_batch(
-            [pa.array(names, pa.string()), pa.array([0] * len(names), pa.int64()), pa.array([seen[0][f] for f in names], pa.int64())],
-            names=["feature", "pos", "neg"],
-        )
+            for y, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                seen[y > 0].update({f for w in words.as_py().split() for f in features_of(w)})
+                if sum(map(len, seen)) >= COUNTED:
+                    yield from tables()
+        yield from tables()
 
     n = known.agg(F.count_if(F.col("y") > 0).alias("pos"), F.count_if(F.col("y") <= 0).alias("neg")).first()
     odds = F.log((F.col("pos") + 0.5) / (n.pos + 1.0)) - F.log((F.col("neg") + 0.5) / (n.neg + 1.0))
@@ -343,18 +403,17 @@ def fit(
         .limit(FEATURES)
     )
     weights = {r.feature: r.odds for r in strong.collect()}
-
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, known_words = Restorer(language), Evidence(weights)
+        known_words = Evidence(weights)
         for batch in batches:
-            x = [known_words.of(words_of(t.as_py() or "", restorer)) for t in batch.column(1)]
+            x = [known_words.of(words.as_py().split()) for words in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
-    rows = known.mapInArrow(evidence, "y int, x array<double>").collect()  # at most `sample` rows of five numbers
-    y = np.array([r.y > 0 for r in rows], dtype=float)
-    if not 0 < y.sum() < len(y):
-        return Model(language, weights, np.array([-30.0, 0, 0, 0, 0]))
-    return Model(language, weights, _logistic(np.array([r.x for r in rows]), y))
+    logistic = np.array([-30.0, 0, 0, 0, 0])
+    if n.pos and n.neg:
+        logistic = _logistic(written(known.mapInArrow(evidence, "y int, x array<double>"), "evidence"))
+    remove(docs.sparkSession, path)
+    return Model(language, weights, logistic)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
